@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, url_filter
+from . import mixing, near_dedup, quality_rules, substring_dedup, url_filter
 
 _QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 _ORACLES = {
