@@ -4,8 +4,8 @@
    `BUCKETS` buckets, each with a fixed sparse ternary index vector. A bucket's word vector is the sum
    of the index vectors of its neighbours in the training texts; tasks add these up as integers, so the
    sum is the same in any order.
-2. A document is the mean and the mean square of its word vectors, weighted down for frequent words,
-   and its length.
+2. A document is the mean and the mean square of its word vectors, weighted down for frequent words, the
+   share of its tokens with the word vector of a token shortly before, and its length.
 3. A network with one hidden layer is trained with Adam on a bounded sample of labelled rows
    (`max_rows`, the rows with the smallest hashes of doc_id; none of the held-out fold). A temperature
    fitted on a part kept from training calibrates its probabilities.
@@ -35,6 +35,7 @@ BUCKETS = 1 << 14
 DIMENSIONS = 32
 NONZERO = 4
 WINDOW = 2
+LAGS = (1, 2, 3, 4)
 HIDDEN = 24
 MAX_ROWS = 6000
 FOLDS = 5
@@ -102,7 +103,9 @@ def pooled(texts: pa.Array, table: np.ndarray) -> np.ndarray:
     if full.any():
         sums[full] = np.add.reduceat(table[b], (np.cumsum(per) - per)[full], axis=0, dtype=np.float64)
     mean = sums[:, :-1] / np.maximum(sums[:, -1:], 1e-9)
-    return np.hstack([mean, np.log1p(per)[:, None]])
+    doc = np.repeat(np.arange(len(per)), per)
+    again = [np.bincount(doc[k:][(doc[k:] == doc[:-k]) & (b[k:] == b[:-k])], minlength=len(per)) / np.maximum(per - k, 1) for k in LAGS]
+    return np.column_stack([mean, *again, np.log1p(per)])
 
 
 class Network:
@@ -175,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     got = rows.select("doc_id", "quality", "text").mapInArrow(pool, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, x binary").collect()  # max_rows at most
     got.sort(key=lambda r: r["doc_id"])
-    x = np.array([np.frombuffer(r["x"]) for r in got]).reshape(len(got), 2 * DIMENSIONS + 1)
+    x = np.array([np.frombuffer(r["x"]) for r in got]).reshape(len(got), 2 * DIMENSIONS + len(LAGS) + 1)
     return table, Network(x, np.array([float(r["quality"] > 0) for r in got]))
 
 
