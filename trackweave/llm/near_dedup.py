@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import materialise
+from .store import materialise, small_batches
 from .words import LOWER, _power_tables, _WORD_BASE, buffers, mix, slices, window_hashes, word_hashes, word_spans
 
 SHINGLE = 5
@@ -38,7 +38,7 @@ PERCENT = 85
 ROWS = 4
 HALVES = 12
 SLICE = 1 << 20
-FLUSH_KEYS = 1_500_000
+FLUSH_KEYS = 600_000
 PART_KEYS = 400_000
 #: Ids of documents to verify are broadcast up to this number (8 bytes each), and joined by a shuffle beyond it.
 BROADCAST_IDS = 2_000_000
@@ -258,6 +258,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def near_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     signed, sets = classes(docs)
     sets = materialise(sets, "near-classes")
     rows = sets.count()

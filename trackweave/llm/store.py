@@ -42,3 +42,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Bound the Arrow batches that go to Python: rows of whole texts are large, executors may be small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
