@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from .queries import topology
+
+_MODULES = (topology,)
+QUERIES: dict = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+ORACLES: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
 FLAGSHIP = "edge_points"
