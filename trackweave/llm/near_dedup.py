@@ -6,12 +6,13 @@
 2. Every pair of a left and a right half key is the key of one table: HALVES**2 tables for the price of
    2 * HALVES * ROWS minhashes. A task links the documents that share a key to the first of them and
    sends on that one only, so a key held by a third of all documents stays small everywhere.
-3. Candidate links are confirmed on the full shingle sets: 100 * intersection >= 85 * union.
+3. Candidates that agree in fewer than `MIN_AGREE` of all half keys are given up; the others are confirmed
+   on the full shingle sets: 100 * intersection >= 85 * union.
 4. Confirmed links are joined to components by star contraction.
 5. Steps 2 to 4 repeat with other first documents, drawn anew for each key, for documents of one key that
    are still in different components, until a round confirms no link.
 
-At the threshold of 0.85 a pair shares a table with probability 0.9996 and above 0.9 with 0.99999.
+At the threshold of 0.85 a pair passes steps 2 and 3 with probability 0.9996, at 0.9 with 0.99999.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing (their component is
 their own doc_id); fewer than five words make one shingle; a null doc_id can be neither named nor
@@ -37,6 +38,7 @@ SHINGLE = 5
 PERCENT = 85
 ROWS = 4
 HALVES = 12
+MIN_AGREE = 4
 SLICE = 1 << 20
 FLUSH_KEYS = 600_000
 PART_KEYS = 400_000
@@ -136,11 +138,6 @@ def _table_keys(shift: int, seed: int):
     """Each task's links, and for each key its first document, packed by ranges of keys."""
     table = mix(np.arange(1, HALVES * HALVES + 1, dtype=np.uint64))
 
-    def batch(parts, raw, a, b, n) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(parts, pa.int64()), pa.array(raw, pa.binary()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int32())], ["part", "entries", "a", "b", "n"]
-        )
-
     def flush(ids: list[np.ndarray], roots: list[np.ndarray], halves: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         node, comp, half = np.concatenate(ids), np.concatenate(roots), np.concatenate(halves)
         left, right = half[:, :HALVES], half[:, HALVES:]
@@ -150,17 +147,15 @@ def _table_keys(shift: int, seed: int):
         order = np.lexsort((_rank(keys, nodes, seed), keys))
         keys, nodes, comps = keys[order], nodes[order], comps[order]
         head, a, b, n = _links(keys, nodes, comps)
-        for i in range(0, len(a), 65536):
-            k = len(a[i : i + 65536])
-            yield batch([None] * k, [None] * k, a[i : i + k], b[i : i + k], n[i : i + k])
         keys, nodes, comps = keys[head], nodes[head], comps[head]
         part = (keys >> np.uint64(shift)).astype(np.int64)
         cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(keys)]
-        for i in range(0, len(cuts) - 1, 512):
-            ends = cuts[i : i + 513]
-            raw = [_pack(keys[x:y], nodes[x:y], comps[x:y]) for x, y in zip(ends, ends[1:], strict=False)]
-            none = [None] * len(raw)
-            yield batch([int(part[x]) for x in ends[:-1]], raw, none, none, none)
+        shares = np.linspace(0, len(a), len(cuts)).astype(int)  # the links found here go along, a share with each range
+        for i in range(0, len(cuts) - 1, 64):
+            at = range(i, min(i + 64, len(cuts) - 1))
+            entries = [_pack(keys[cuts[k] : cuts[k + 1]], nodes[cuts[k] : cuts[k + 1]], comps[cuts[k] : cuts[k + 1]]) for k in at]
+            links = [np.stack([x[shares[k] : shares[k + 1]].astype(np.int64) for x in (a, b, n)]).tobytes() for k in at]
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[cuts[k]]) for k in at], pa.int64()), pa.array(entries, pa.binary()), pa.array(links, pa.binary())], ["part", "entries", "links"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, roots, halves, held = [], [], [], 0
@@ -200,11 +195,13 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _meet(seed: int):
     def meet(table: pa.Table) -> pa.Table:
-        """For one range of keys: links between the documents that tasks sent."""
+        """For one range of keys: links between the documents that tasks sent, and the links that they found."""
         keys, nodes, comps = (np.concatenate(x) for x in zip(*[_unpack(x) for x in table.column("entries").to_pylist()], strict=True))
         order = np.lexsort((_rank(keys, nodes, seed), keys))
         _, a, b, n = _links(keys[order], nodes[order], comps[order])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int32())})
+        told = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(3, -1) for x in table.column("links").to_pylist()], axis=1)
+        a, b, n = (np.concatenate([x, y]) for x, y in zip((a, b, n), told, strict=True))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
     return meet
 
@@ -215,10 +212,24 @@ def candidates(sets: DataFrame, rows: int, seed: int) -> DataFrame:
     spark = sets.sparkSession
     parts = max(256, rows * HALVES * HALVES // PART_KEYS)
     shift = 64 - (int(parts) - 1).bit_length()
-    sent = materialise(sets.mapInArrow(_table_keys(shift, seed), "part long, entries binary, a long, b long, n int"), "near-keys")
+    sent = sets.mapInArrow(_table_keys(shift, seed), "part long, entries binary, links binary")
     wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 20_000)
-    met = sent.where("part IS NOT NULL").select("part", "entries").repartition(wide, "part").groupBy("part").applyInArrow(_meet(seed), "a long, b long, n int")
-    return sent.where("part IS NULL").select("a", "b", "n").unionByName(met).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    met = sent.repartition(wide, "part").groupBy("part").applyInArrow(_meet(seed), "a long, b long, n long")
+    return met.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ha, hb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES) for c in ("ha", "hb"))
+        yield batch.select(["a", "b"]).filter(pa.array((ha == hb).sum(axis=1) >= MIN_AGREE))
+
+
+def promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose half keys agree often enough."""
+    halves = sets.select("node", "halves")
+    with_b = pairs.select("a", "b").join(halves.select(F.col("node").alias("b"), F.col("halves").alias("hb")), "b")
+    both = with_b.join(halves.select(F.col("node").alias("a"), F.col("halves").alias("ha")), "a")
+    return both.select("a", "b", "ha", "hb").mapInArrow(_agreeing, "a long, b long")
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +279,10 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     for seed in count():
         named = sets.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "halves")
         pairs = candidates(named, rows, seed)
-        pairs = materialise(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "near-pairs")
+        pairs = promising(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), sets)
+        pairs = materialise(pairs, "near-pairs")
+        if pairs.isEmpty():
+            break
         new = materialise(verify(pairs, texts), "near-links")
         if new.isEmpty():
             break
