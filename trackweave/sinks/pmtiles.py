@@ -16,6 +16,7 @@ import tempfile
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .mvt import varint
 
@@ -39,7 +40,7 @@ def tile_id(z: int, x: int, y: int) -> int:
     return base + d
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def tile_ids(z: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([tile_id(int(a), int(b), int(c)) for a, b, c in zip(z, x, y, strict=True)], dtype="int64")
 
