@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import smallest
+
 
 MAX_LABELLED = 400
 #: Weights used where no page is labelled.
@@ -223,8 +225,8 @@ def extract(source: str | None, weights: dict[str, float]) -> str:
 
 def labelled(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> list[str]:
     """Up to `max_labelled` pages that mark their article, those with the smallest hashes of their html."""
-    marked = pages.where(F.lower("html").rlike("<(article|main)[\\s>]")).select("html", F.xxhash64("html").alias("_h")).distinct()
-    return [r["html"] for r in marked.orderBy("_h").limit(max_labelled).collect()]
+    marked = pages.where(F.lower("html").rlike("<(article|main)[\\s>]")).select("html")
+    return sorted({r["html"] for r in smallest(marked, F.xxhash64("html"), max_labelled).collect()})
 
 
 def extract_pages(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:

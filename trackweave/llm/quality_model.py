@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialise
+from .store import materialise, smallest
 from .words import buffers, slices, word_hashes
 
 BUCKETS = 1 << 14
@@ -159,7 +159,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, Network]:
     """Word vectors and network from `max_rows` labelled rows at most."""
     marked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = materialise(marked.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(max_rows), "quality-rows")
+    chosen = materialise(smallest(marked, F.xxhash64(F.lit(5), "doc_id"), max_rows), "quality-rows")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows ids at most
     rows = materialise(rows.dropDuplicates(["doc_id"]), "quality-sample")
     tasks = max(2, min(8, rows.rdd.getNumPartitions()))

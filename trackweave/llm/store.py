@@ -10,7 +10,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +50,11 @@ def small_batches(spark: SparkSession, most: str = "8m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
-def small_batches(spark: SparkSession, most: str = "8m") -> None:
-    """Bound the Arrow batches that go to Python: rows of whole texts are large, executors may be small."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+def smallest(df: DataFrame, key: Column, most: int) -> DataFrame:
+    """`most` rows at most, about those with the smallest hashes `key`. Rows above a bound that follows from
+    the number of rows are left out first, so that no task sends `most` rows of its own."""
+    n = df.count()
+    if n <= most:
+        return df
+    bound = int(-(2**63) + 2**64 * min(1.0, (1.5 * most + 20) / n))
+    return df.where(key < F.lit(min(bound, 2**63 - 1))).orderBy(key).limit(most)
