@@ -6,11 +6,12 @@
 2. Every pair of a left and a right half key is the key of one table: HALVES**2 tables for the price of
    2 * HALVES * ROWS minhashes. A task links the documents that share a key to the first of them and
    sends on that one only, so a key held by a third of all documents stays small everywhere.
-3. Candidates that agree in fewer than `MIN_AGREE` of all half keys are given up; the others are confirmed
+3. In the first round each document keeps its strongest candidate only. Candidates that agree in fewer than `MIN_AGREE` of all half keys are given up; the others are confirmed
    on the full shingle sets: 100 * intersection >= 85 * union.
 4. Confirmed links are joined to components by star contraction.
 5. Steps 2 to 4 repeat with other first documents, drawn anew for each key, for documents of one key that
-   are still in different components, until a round confirms no link.
+   are still in different components, until a round confirms no link. In the first two rounds the first
+   documents are those that share most keys with others, the middles of groups of copies.
 
 At the threshold of 0.85 a pair passes steps 2 and 3 with probability 0.9996, at 0.9 with 0.99999.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import materialise, small_batches, small_batches
+from .store import materialise, small_batches
 from .words import LOWER, _power_tables, _WORD_BASE, buffers, mix, slices, window_hashes, word_hashes, word_spans
 
 SHINGLE = 5
@@ -39,7 +40,8 @@ PERCENT = 85
 ROWS = 4
 HALVES = 12
 MIN_AGREE = 4
-MIN_AGREE = 4
+#: First documents drawn for each key in every round but the first.
+DRAWS = 3
 SLICE = 1 << 20
 FLUSH_KEYS = 600_000
 PART_KEYS = 400_000
@@ -107,11 +109,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _rank(keys: np.ndarray, nodes: np.ndarray, seed: int) -> np.ndarray:
-    """The order of documents within a key: by id in round 0, drawn anew for each key and round later."""
-    if not seed:
-        return nodes
-    return mix(nodes.view(np.uint64) ^ mix(keys + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)))
+def _order(keys: np.ndarray, nodes: np.ndarray, shared: np.ndarray, seed: int, hubs: bool) -> np.ndarray:
+    """Entries by key; within a key those that share most keys with others come first (hubs), or it is drawn
+    anew for each key and seed."""
+    if hubs:
+        return np.lexsort((nodes, -shared, keys))
+    return np.lexsort((mix(nodes.view(np.uint64) ^ mix(keys + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))), keys))
 
 
 def _links(keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,8 +138,8 @@ def _edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return a[at], b[at], np.diff(at, append=len(a))
 
 
-def _table_keys(shift: int, seed: int):
-    """Each task's links, and for each key its first document, packed by ranges of keys."""
+def _table_keys(shift: int, seeds: tuple[int, ...], turn: int):
+    """Each task's links (not in round 1), and for each key its first document, packed by ranges of keys."""
     table = mix(np.arange(1, HALVES * HALVES + 1, dtype=np.uint64))
 
     def flush(ids: list[np.ndarray], roots: list[np.ndarray], halves: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -145,18 +148,26 @@ def _table_keys(shift: int, seed: int):
         keys = mix(left[:, :, None] * np.uint64(0x9E3779B97F4A7C15) + right[:, None, :]).reshape(len(node), -1)
         keys = mix(keys ^ table).ravel()
         nodes, comps = np.repeat(node, HALVES * HALVES), np.repeat(comp, HALVES * HALVES)
-        order = np.lexsort((_rank(keys, nodes, seed), keys))
-        keys, nodes, comps = keys[order], nodes[order], comps[order]
+        _, place, size = np.unique(keys, return_inverse=True, return_counts=True)
+        shared = np.repeat((size[place] - 1).reshape(len(node), -1).sum(axis=1), HALVES * HALVES)
+        for seed in seeds:
+            yield from first_ones(seed, keys, nodes, comps, shared)
+
+    def first_ones(seed: int, keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray, shared: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = _order(keys, nodes, shared, seed, turn == 0)
+        keys, nodes, comps, shared = keys[order], nodes[order], comps[order], shared[order]
         head, a, b, n = _links(keys, nodes, comps)
-        keys, nodes, comps = keys[head], nodes[head], comps[head]
+        if turn == 1:
+            a, b, n = a[:0], b[:0], n[:0]
+        keys, nodes, comps, shared = keys[head], nodes[head], comps[head], shared[head]
         part = (keys >> np.uint64(shift)).astype(np.int64)
         cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(keys)]
         shares = np.linspace(0, len(a), len(cuts)).astype(int)  # the links found here go along, a share with each range
         for i in range(0, len(cuts) - 1, 64):
             at = range(i, min(i + 64, len(cuts) - 1))
-            entries = [_pack(keys[cuts[k] : cuts[k + 1]], nodes[cuts[k] : cuts[k + 1]], comps[cuts[k] : cuts[k + 1]]) for k in at]
+            entries = [_pack(*(x[cuts[k] : cuts[k + 1]] for x in (keys, nodes, comps, shared))) for k in at]
             links = [np.stack([x[shares[k] : shares[k + 1]].astype(np.int64) for x in (a, b, n)]).tobytes() for k in at]
-            yield pa.RecordBatch.from_arrays([pa.array([int(part[cuts[k]]) for k in at], pa.int64()), pa.array(entries, pa.binary()), pa.array(links, pa.binary())], ["part", "entries", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[cuts[k]]) for k in at], pa.int64()), pa.array([seed] * len(at), pa.int32()), pa.array(entries, pa.binary()), pa.array(links, pa.binary())], ["part", "seed", "entries", "links"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, roots, halves, held = [], [], [], 0
@@ -181,70 +192,64 @@ def _planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
 
 
-def _pack(keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray) -> bytes:
+def _pack(keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray, shared: np.ndarray) -> bytes:
     low = nodes.min()
-    return np.int64(low).tobytes() + _planes(np.diff(keys, prepend=np.uint64(0))) + _planes(nodes - low) + _planes(nodes - comps)
+    return np.int64(low).tobytes() + b"".join(map(_planes, (np.diff(keys, prepend=np.uint64(0)), nodes - low, nodes - comps, shared.astype(np.int64))))
 
 
-def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     low = np.frombuffer(raw[:8], dtype=np.int64)[0]
-    body = np.frombuffer(raw, dtype=np.uint8, offset=8).reshape(3, 8, -1)
+    body = np.frombuffer(raw, dtype=np.uint8, offset=8).reshape(4, 8, -1)
     get = lambda x, kind: np.ascontiguousarray(x.T).view(kind).ravel()
     nodes = get(body[1], np.int64) + low
-    return np.cumsum(get(body[0], np.uint64), dtype=np.uint64), nodes, nodes - get(body[2], np.int64)
+    return np.cumsum(get(body[0], np.uint64), dtype=np.uint64), nodes, nodes - get(body[2], np.int64), get(body[3], np.int64)
 
 
-def _meet(seed: int):
+def _meet(hubs: bool):
     def meet(table: pa.Table) -> pa.Table:
         """For one range of keys: links between the documents that tasks sent, and the links that they found."""
-        keys, nodes, comps = (np.concatenate(x) for x in zip(*[_unpack(x) for x in table.column("entries").to_pylist()], strict=True))
-        order = np.lexsort((_rank(keys, nodes, seed), keys))
-        _, a, b, n = _links(keys[order], nodes[order], comps[order])
-        told = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(3, -1) for x in table.column("links").to_pylist()], axis=1)
-        a, b, n = (np.concatenate([x, y]) for x, y in zip((a, b, n), told, strict=True))
+        found = [np.frombuffer(x, dtype=np.int64).reshape(3, -1) for x in table.column("links").to_pylist()]
+        seeds = table.column("seed").to_numpy()
+        raw = table.column("entries").to_pylist()
+        for seed in sorted(set(seeds.tolist())):
+            keys, nodes, comps, shared = (np.concatenate(x) for x in zip(*[_unpack(raw[i]) for i in np.flatnonzero(seeds == seed)], strict=True))
+            order = _order(keys, nodes, shared, seed, hubs)
+            found.append(np.stack([x.astype(np.int64) for x in _links(keys[order], nodes[order], comps[order])[1:]]))
+        a, b, n = np.concatenate(found, axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
     return meet
 
 
-def candidates(sets: DataFrame, rows: int, seed: int) -> DataFrame:
+def candidates(sets: DataFrame, rows: int, turn: int) -> DataFrame:
     """(a, b): distinct pairs of `sets` (node, comp, halves) to verify. A document that shares a table key
-    with documents of other components is paired with the first one of that key, in its task and over all."""
+    with documents of other components is paired with the first one of that key, in its task and over all.
+
+    In round 0 the first one is that which shares most keys with others (the middle of a group of copies); in
+    round 1 the first ones over all are of that kind, met by documents drawn in each task; later all are drawn."""
     spark = sets.sparkSession
+    seeds = tuple(range(DRAWS * (turn - 1) + 1, DRAWS * turn + 1)) if turn else (0,)
     parts = max(256, rows * HALVES * HALVES // PART_KEYS)
     shift = 64 - (int(parts) - 1).bit_length()
-    sent = sets.mapInArrow(_table_keys(shift, seed), "part long, entries binary, links binary")
+    sent = sets.mapInArrow(_table_keys(shift, seeds, turn), "part long, seed int, entries binary, links binary")
     wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 20_000)
-    met = sent.repartition(wide, "part").groupBy("part").applyInArrow(_meet(seed), "a long, b long, n long")
+    met = sent.repartition(wide, "part").groupBy("part").applyInArrow(_meet(turn < 2), "a long, b long, n long")
     return met.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ha, hb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES) for c in ("ha", "hb"))
-        yield batch.select(["a", "b"]).filter(pa.array((ha == hb).sum(axis=1) >= MIN_AGREE))
-
-
-def promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose half keys agree often enough."""
-    halves = sets.select("node", "halves")
-    with_b = pairs.select("a", "b").join(halves.select(F.col("node").alias("b"), F.col("halves").alias("hb")), "b")
-    both = with_b.join(halves.select(F.col("node").alias("a"), F.col("halves").alias("ha")), "a")
-    return both.select("a", "b", "ha", "hb").mapInArrow(_agreeing, "a long, b long")
-
-
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ha, hb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES) for c in ("ha", "hb"))
-        yield batch.select(["a", "b"]).filter(pa.array((ha == hb).sum(axis=1) >= MIN_AGREE))
+        agree = (ha == hb).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agree, pa.int64())], ["a", "b", "agree"]).filter(pa.array(agree >= MIN_AGREE))
 
 
 def promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose half keys agree often enough."""
+    """The pairs whose half keys agree often enough, and how often."""
     halves = sets.select("node", "halves")
     with_b = pairs.select("a", "b").join(halves.select(F.col("node").alias("b"), F.col("halves").alias("hb")), "b")
     both = with_b.join(halves.select(F.col("node").alias("a"), F.col("halves").alias("ha")), "a")
-    return both.select("a", "b", "ha", "hb").mapInArrow(_agreeing, "a long, b long")
+    return both.select("a", "b", "ha", "hb").mapInArrow(_agreeing, "a long, b long, agree long")
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,6 +286,15 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return signed, linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("halves").alias("halves"))
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`roots` (node, root) after more links: only the links between components are contracted anew."""
+    at = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+    between = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
+    moved = components(between.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    return roots.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root")).unionByName(moved)
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
@@ -290,20 +304,24 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     rows = sets.count()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     roots = spark.createDataFrame([], "node long, root long")
-    checked, links = None, None
-    for seed in count():
-        named = sets.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "halves")
-        pairs = candidates(named, rows, seed)
-        pairs = promising(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), sets)
-        pairs = materialise(pairs, "near-pairs")
-        if pairs.isEmpty():
-            break
+    checked, sets_open = None, sets
+    for turn in count():
+        named = sets_open.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "halves")
+        pairs = materialise(candidates(named, rows, turn), "near-raw")
+        if turn:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        else:  # who meets nobody in any table now, while all are apart, never does
+            met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            sets_open = materialise(sets.join(met, "node", "left_semi").select("node", "halves").repartition("node"), "near-open")
+        pairs = promising(pairs, sets_open)
+        if turn == 0:  # most documents are joined by their strongest candidate; what is left comes later
+            pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
+        pairs = materialise(pairs.select("a", "b"), "near-pairs")
         new = materialise(verify(pairs, texts), "near-links")
-        if new.isEmpty():
+        if turn > 1 and new.isEmpty():
             break
         checked = pairs if checked is None else checked.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
-        roots = components(links)
+        roots = materialise(_joined(roots, new), "near-roots")
     small = sets.join(roots, "node", "left").where("members > 1 OR root IS NOT NULL")
     named = materialise(small.select("d1", "d2", F.coalesce("root", "node").alias("component_id")), "near-components")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
