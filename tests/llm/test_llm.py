@@ -232,6 +232,28 @@ def test_hot_group_is_linked(docs_of):
     assert len(got) == len({c for _, c in brute_components(rows).values()})
 
 
+def test_single_link_between_groups(docs_of, monkeypatch):
+    """Two tight groups that only one pair of outer documents joins, which no round ever draws together."""
+    drawn = near_dedup.candidates
+    monkeypatch.setattr(near_dedup, "candidates", lambda *args: drawn(*args).where("a < 1000 OR b < 1000"))
+    rng = random.Random(14)
+    rows, outer = [], []
+    for g in range(2):
+        base = [f"{w}{g}" for w in prose(rng, 400).split()]
+        for side in (0, 6):
+            own = [f"{w}turned" if p % 30 == 15 and p < 30 * side else w for p, w in enumerate(base)]
+            outer.append((1000 + len(outer), " ".join(own)))
+            own[200 + side] = f"middle{g}x{side}"
+            rows.append((len(rows), " ".join(own)))
+            for i in range(20):
+                rows.append((len(rows), " ".join(own[:240] + [f"own{g}x{side}x{i}"] + own[241:])))
+    rows += outer
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_dedup(docs_of(rows)).collect()}
+    want = brute_components(rows)
+    assert len({c for _, c in want.values()}) == 2
+    assert got == want
+
+
 # 5 decontamination
 
 

@@ -12,6 +12,8 @@
 5. Steps 2 to 4 repeat with other first documents, drawn anew for each key, for documents of one key that
    are still in different components, until a round confirms no link. In the first two rounds the first
    documents are those that share most keys with others, the middles of groups of copies.
+6. Keys whose documents still lie in several components are settled in full: every pair of documents of
+   different components that share a key and were not compared is, in blocks of `BLOCK` documents of a key.
 
 At the threshold of 0.85 a pair passes steps 2 and 3 with probability 0.9996, at 0.9 with 0.99999.
 
@@ -47,6 +49,8 @@ FLUSH_KEYS = 600_000
 PART_KEYS = 400_000
 #: Ids of documents to verify are broadcast up to this number (8 bytes each), and joined by a shuffle beyond it.
 BROADCAST_IDS = 2_000_000
+#: Documents of one key are compared in blocks of about this number.
+BLOCK = 128
 _rng = np.random.Generator(np.random.PCG64(977))
 _MULT = _rng.integers(1, 2**63, 2 * ROWS * HALVES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, 2 * ROWS * HALVES, dtype=np.uint64)
@@ -138,15 +142,18 @@ def _edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return a[at], b[at], np.diff(at, append=len(a))
 
 
+def table_keys(half: np.ndarray) -> np.ndarray:
+    """The keys of all tables, a row for each row of half keys."""
+    left, right = half[:, :HALVES], half[:, HALVES:]
+    keys = mix(left[:, :, None] * np.uint64(0x9E3779B97F4A7C15) + right[:, None, :]).reshape(len(half), -1)
+    return mix(keys ^ mix(np.arange(1, HALVES * HALVES + 1, dtype=np.uint64)))
+
+
 def _table_keys(shift: int, seeds: tuple[int, ...], turn: int):
     """Each task's links (not in round 1), and for each key its first document, packed by ranges of keys."""
-    table = mix(np.arange(1, HALVES * HALVES + 1, dtype=np.uint64))
-
     def flush(ids: list[np.ndarray], roots: list[np.ndarray], halves: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         node, comp, half = np.concatenate(ids), np.concatenate(roots), np.concatenate(halves)
-        left, right = half[:, :HALVES], half[:, HALVES:]
-        keys = mix(left[:, :, None] * np.uint64(0x9E3779B97F4A7C15) + right[:, None, :]).reshape(len(node), -1)
-        keys = mix(keys ^ table).ravel()
+        keys = table_keys(half).ravel()
         nodes, comps = np.repeat(node, HALVES * HALVES), np.repeat(comp, HALVES * HALVES)
         _, place, size = np.unique(keys, return_inverse=True, return_counts=True)
         shared = np.repeat((size[place] - 1).reshape(len(node), -1).sum(axis=1), HALVES * HALVES)
@@ -278,12 +285,95 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(_similar, "a long, b long").distinct()
 
 
+def _halves(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each key of a batch: its smallest and largest component and the number of documents."""
+    for rows in batches:
+        for i in range(0, rows.num_rows, 4096):
+            piece = rows.slice(i, 4096)
+            keys, comps = table_keys(_halves(piece.column("halves"))).ravel(), np.repeat(piece.column("comp").to_numpy(zero_copy_only=False), HALVES * HALVES)
+            order = np.argsort(keys)
+            keys, comps = keys[order], comps[order]
+            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=int)
+            low, high = (f.reduceat(comps, at) if len(at) else comps for f in (np.minimum, np.maximum))
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (keys[at], low, high, np.diff(at, append=len(keys)))], ["key", "low", "high", "n"])
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        for i in range(0, rows.num_rows, 4096):
+            piece = rows.slice(i, 4096)
+            keys, nodes = table_keys(_halves(piece.column("halves"))), piece.column("node").to_numpy(zero_copy_only=False)
+            table = np.tile(np.arange(HALVES * HALVES, dtype=np.int32), len(nodes))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(table), pa.array(np.repeat(nodes, HALVES * HALVES))], ["key", "table", "node"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components within each two blocks (x, y) of a key; rows come sorted by key, x, y. A
+    pair comes out of the first table that it shares only, and if its half keys agree often enough."""
+
+    def pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        key, x, y, block, table, node, comp, n = (rows.column(c).to_numpy() for c in ("key", "x", "y", "block", "table", "node", "comp", "n_shingles"))
+        half = _halves(rows.column("halves"))
+        cuts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0), [True]]))
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            for k in range(lo, hi - 1):  # one document against those after it
+                to = np.arange(k + 1, hi)
+                to = to[(comp[to] != comp[k]) & ((x[k] == y[k]) | (block[to] != block[k])) & (100 * np.minimum(n[to], n[k]) >= PERCENT * np.maximum(n[to], n[k]))]
+                if not len(to):
+                    continue
+                same = half[to] == half[k]
+                first = same[:, :HALVES].argmax(axis=1) * HALVES + same[:, HALVES:].argmax(axis=1)
+                to = to[(first == table[k]) & (same.sum(axis=1) >= MIN_AGREE)]
+                yield np.minimum(node[to], node[k]), np.maximum(node[to], node[k])
+
+    def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = list(pairs(rows)) if rows.num_rows else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(side), pa.int64()) for side in zip(*found, strict=True)], ["a", "b"])
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        last = np.ones(held.num_rows, dtype=bool)
+        for c in ("key", "x", "y"):
+            v = held.column(c).to_numpy()
+            last &= v == v[-1]
+        at = held.num_rows - int(last.sum())  # the last blocks may go on in the next batch
+        yield from out(held.slice(0, at))
+        held = held.slice(at).combine_chunks()
+    if held is not None:
+        yield from out(held)
+
+
+def unsettled(sets: DataFrame, checked: DataFrame) -> DataFrame:
+    """(a, b): all pairs of `sets` (node, comp, halves, n_shingles) of different components that share a table
+    key, have similar sizes and agreeing half keys, and are not among `checked`."""
+    spark = sets.sparkSession
+    spans = sets.select("comp", "halves").mapInArrow(_spans, "key long, low long, high long, n long")
+    mixed = spans.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).where("low <> high")
+    mixed = materialise(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "near-mixed")
+    entries = sets.select("node", "halves").mapInArrow(_entries, "key long, table int, node long").join(mixed, "key")
+    entries = entries.withColumn("block", F.expr("cast(pmod(xxhash64(node, key), blocks) AS int)"))
+    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    entries = entries.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "table", "node")
+    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
+    met = entries.join(sets, "node").repartition(wide, "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return met.mapInArrow(_across, "a long, b long").join(checked, ["a", "b"], "left_anti")
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Signatures of all rows, and one row per distinct shingle set with its smallest doc_id (node)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialise(texts.mapInArrow(_sign, "doc_id long, n_shingles long, d1 long, d2 long, halves binary"), "near-signatures")
     linked = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    return signed, linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("halves").alias("halves"))
+    return signed, linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("halves").alias("halves"), F.first("n_shingles").alias("n_shingles"))
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -312,7 +402,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         else:  # who meets nobody in any table now, while all are apart, never does
             met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            sets_open = materialise(sets.join(met, "node", "left_semi").select("node", "halves").repartition("node"), "near-open")
+            sets_open = materialise(sets.join(met, "node", "left_semi").select("node", "halves", "n_shingles").repartition("node"), "near-open")
         pairs = promising(pairs, sets_open)
         if turn == 0:  # most documents are joined by their strongest candidate; what is left comes later
             pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
@@ -322,6 +412,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
             break
         checked = pairs if checked is None else checked.unionByName(pairs)
         roots = materialise(_joined(roots, new), "near-roots")
+    named = sets_open.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "halves", "n_shingles")
+    pairs = materialise(unsettled(named, checked.unionByName(pairs)), "near-rest")
+    roots = materialise(_joined(roots, materialise(verify(pairs, texts), "near-links")), "near-roots")
     small = sets.join(roots, "node", "left").where("members > 1 OR root IS NOT NULL")
     named = materialise(small.select("d1", "d2", F.coalesce("root", "node").alias("component_id")), "near-components")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
