@@ -155,3 +155,14 @@ def test_published(spark):
     assert [r["tags"] for r in G.jsonify(df).orderBy("id").collect()] == ['["a"]', "[]"]
     assert sorted((r["id"], r["z_level"]) for r in G.zoom_fanout(df, {15: "zoom <= 1", 21: "zoom <= 3"}).collect()) == [(1, 15), (1, 21), (2, 21)]
     assert G.deduplicate(df.unionByName(df), ["id"], "zoom").count() == 2
+
+
+def test_snap_queries_take_all_tracks(spark, tmp_path):
+    from trackweave.queries import points as Q
+
+    spark.range(203, 211).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    rounds = Q.snap_rounds(spark, str(tmp_path)).collect()
+    assert sum(r["candidates"] for r in rounds) == Q._candidates(spark, str(tmp_path)).count()
+    new = [r for r in rounds if r["is_new_pp"]]
+    assert all(r["candidates"] == r["points"] for r in new)
+    assert Q.snap_points(spark, str(tmp_path)).count() == sum(r["points"] for r in new)

@@ -84,14 +84,13 @@ def snap_nearest_existing(spark, sf_dir: str) -> DataFrame:
 
 def snap_rounds(spark, sf_dir: str) -> DataFrame:
     """Incremental snapping: points and mappings by priority (state is carried from round to round)."""
-    c = _candidates(spark, sf_dir, "k < 200")
-    s = S.snap(c)
+    s = S.snap(_candidates(spark, sf_dir))
     return s.groupBy("prio", "is_new_pp").agg(F.count("*").alias("candidates"), F.count_distinct("snapped.id_positionpoint").alias("points"))
 
 
 def snap_points(spark, sf_dir: str) -> DataFrame:
     """New position points with coordinates and token."""
-    return S.points(S.snap(_candidates(spark, sf_dir, "k < 60")))
+    return S.points(S.snap(_candidates(spark, sf_dir)))
 
 
 def direction(spark, sf_dir: str) -> DataFrame:
