@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from trackweave.llm import decontaminate, html_text, licenses, mixing, near_dedup, quality_model, quality_rules, substring_dedup, token_counts, url_filter
@@ -138,7 +139,8 @@ def test_flight_keeps_sums():
 
 def brute_substrings(rows, width):
     seen, out = set(), {}
-    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] is None, r[1])):
+    tag = lambda t: 0 if t is None else (xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63) - (1 << 63)
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0], tag(r[1]))):
         w = WORD.findall(text or "")
         gone = set()
         for p in range(len(w) - width + 1):
@@ -165,6 +167,31 @@ def test_substrings(docs_of, chunk_bytes):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
 
 
+def test_substrings_tell_words_apart(docs_of):
+    rng = random.Random(18)
+    x, y = word_pair(1024)
+    a, b = prose(rng, 19), prose(rng, 19)
+    rows = [(1, f"{a} {x}"), (2, f"{a} {y}"), (3, f"{x} {b}"), (4, f"{y} {b}"), (5, f"{b} {y} {b}")]
+    got = {r["doc_id"]: [(r["n_words"], r["n_removed"], r["kept_sha256"])] for r in substring_dedup.dedup(docs_of(rows)).collect()}
+    assert got == brute_substrings(rows, 20)
+
+
+@pytest.mark.parametrize("only", [None, 5])
+def test_substrings_of_one_id(docs_of, only):
+    """All rows without a doc_id, or with the same one: split by the hashes of their texts."""
+    rng = random.Random(19)
+    passage = prose(rng, 30)
+    rows = [(only, prose(rng, 20) + " " + passage + " " + prose(rng, rng.randint(0, 9))) for _ in range(80)] + [(6, passage), (4, prose(rng, 25))]
+    d = docs_of(rows)
+    texts = d.selectExpr("doc_id", "xxhash64(text) AS _tag", "text")
+    ranges = substring_dedup.Ranges.of(texts, 1000)
+    assert len(set(ranges.of_rows(texts.where("doc_id IS NULL OR doc_id = 5").toArrow()))) > 10
+    got = defaultdict(list)
+    for r in substring_dedup.dedup(d, chunk_bytes=1000).collect():
+        got[r["doc_id"]].append((r["n_words"], r["n_removed"], r["kept_sha256"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in brute_substrings(rows, 20).items()}
+
+
 def test_substrings_text_and_empty(docs_of):
     rng = random.Random(7)
     a = prose(rng, 40)
@@ -176,7 +203,7 @@ def test_substrings_text_and_empty(docs_of):
 # 9 near-duplicates
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = {}
     for i, text in rows:
         w = (text or "").encode().lower().split()
@@ -191,7 +218,7 @@ def brute_components(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * min(len(sets[a]), len(sets[b])) >= percent * max(len(sets[a]), len(sets[b])) and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in ids}
@@ -232,28 +259,54 @@ def test_hot_group_is_linked(docs_of):
     assert len(got) == len({c for _, c in brute_components(rows).values()})
 
 
-def test_single_link_between_groups(docs_of, monkeypatch):
-    """Two tight groups that only one pair of outer documents joins, which no round ever draws together."""
-    drawn = near_dedup.candidates
-    monkeypatch.setattr(near_dedup, "candidates", lambda *args: drawn(*args).where("a < 1000 OR b < 1000"))
-    rng = random.Random(14)
-    rows, outer = [], []
-    for g in range(2):
-        base = [f"{w}{g}" for w in prose(rng, 400).split()]
-        for side in (0, 6):
-            own = [f"{w}turned" if p % 30 == 15 and p < 30 * side else w for p, w in enumerate(base)]
-            outer.append((1000 + len(outer), " ".join(own)))
-            own[200 + side] = f"middle{g}x{side}"
-            rows.append((len(rows), " ".join(own)))
-            for i in range(20):
-                rows.append((len(rows), " ".join(own[:240] + [f"own{g}x{side}x{i}"] + own[241:])))
-    rows += outer
+def word_pair(n):
+    """Two different words of 2 * n characters that collide in any polynomial modulo 2**64 with an odd base."""
+    t = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return t + t.translate(str.maketrans("ab", "ba")), t.translate(str.maketrans("ab", "ba")) + t
+
+
+def test_near_dedup_tells_words_apart(docs_of):
+    rng = random.Random(16)
+    x, y = word_pair(1024)
+    base = prose(rng, 12).split()
+    rows = [(1, " ".join([*base, x])), (2, " ".join([*base, y])), (3, " ".join([x, x])), (4, " ".join([y, y])), (5, " ".join([*base, x, "q"]))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_dedup(docs_of(rows)).collect()}
+    assert got == brute_components(rows) and got[2][1] == 2
+
+
+def template_rows(rng, n, words=120):
+    """`n` texts of one template, most of them less alike than the threshold, with chains of near copies."""
+    base, rows = prose(rng, words).split(), []
+    for i in range(n):
+        w = list(base) if not rows or i % 5 else rows[rng.randrange(len(rows))][1].split()
+        for _ in range(rng.randint(0, 2) if i % 5 == 0 else rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_large_group_with_chains(docs_of, monkeypatch, small):
+    """Over a thousand documents of one template: every link counts, in one block and over many."""
+    if small:
+        monkeypatch.setattr(near_dedup, "BLOCK", 60_000)
+    rows = template_rows(random.Random(15), 1200)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_dedup(docs_of(rows)).collect()}
     want = brute_components(rows)
-    assert len({c for _, c in want.values()}) == 2
+    assert len({c for _, c in want.values()}) > 100
     assert got == want
 
 
+def test_family_beyond_its_limit(docs_of, monkeypatch):
+    """Groups by shared left half keys, and a similarity of 0.8."""
+    monkeypatch.setattr(near_dedup, "FAMILY", 100_000)
+    monkeypatch.setattr(near_dedup, "BLOCK", 50_000)
+    rows = template_rows(random.Random(17), 400)
+    for percent in (85, 80):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_dedup(docs_of(rows), percent).collect()}
+        assert got == brute_components(rows, percent)
+
+
 # 5 decontamination
 
 

@@ -31,7 +31,7 @@ def test_stages(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     assert before.join(labels.where("quality = 1"), "doc_id").join(after, "doc_id", "left_anti").where(F.size(F.split("text", r"\s+")) >= 60).count() == 0
     _, before, after = kept[1]
-    want = {i for i, (_, c) in brute_components(rows(before)).items() if i == c}
+    want = {i for i, (_, c) in brute_components(rows(before), 80).items() if i == c}
     assert {i for i, _ in rows(after)} == want
     _, before, after = kept[2]
     brute = brute_substrings(rows(before), 20)

@@ -1,379 +1,306 @@
 """MinHash near-dedup with tensored banding.
 
-1. Scan: each text's set of five-word shingles is reduced to a digest of the set and to two small
-   collections of `HALVES` half keys, each of `ROWS` minhashes. Texts with equal sets form one class and
-   go on as one representative (the smallest doc_id).
-2. Every pair of a left and a right half key is the key of one table: HALVES**2 tables for the price of
-   2 * HALVES * ROWS minhashes. A task links the documents that share a key to the first of them and
-   sends on that one only, so a key held by a third of all documents stays small everywhere.
-3. In the first round each document keeps its strongest candidate only. Candidates that agree in fewer than `MIN_AGREE` of all half keys are given up; the others are confirmed
-   on the full shingle sets: 100 * intersection >= 85 * union.
-4. Confirmed links are joined to components by star contraction.
-5. Steps 2 to 4 repeat with other first documents, drawn anew for each key, for documents of one key that
-   are still in different components, until a round confirms no link. In the first two rounds the first
-   documents are those that share most keys with others, the middles of groups of copies.
-6. Keys whose documents still lie in several components are settled in full: every pair of documents of
-   different components that share a key and were not compared is, in blocks of `BLOCK` documents of a key.
-
-At the threshold of 0.85 a pair passes steps 2 and 3 with probability 0.9996, at 0.9 with 0.99999.
+1. Scan: each text's set of five-word shingles is reduced to a digest of the set and to two small collections
+   of half keys, each of `ROWS` minhashes. Texts with equal sets form one class and go on as one
+   representative (the smallest doc_id).
+2. Every pair of a left and a right half key is the key of one table: h**2 tables for the price of
+   2 * h * ROWS minhashes. A table key can be shared only if both its halves are, so the few half keys that
+   two documents or more have are found first, and only their products become table keys.
+3. Documents joined by shared table keys, directly or over others, are a family. All candidates lie within
+   one. Families of more than `FAMILY` bytes are worked on by their shared left half keys instead.
+4. A task holds one block of a family at a time (`BLOCK` bytes of text, or two such blocks) and compares its
+   documents with each other: only those of different components, of similar size, and whose bitmaps don't
+   exclude the similarity (an exact bound); each is confirmed on the full shingle sets before it links. As
+   linked documents become one component at once, a task sends a forest, not pairs.
+5. Families of one block are settled by that. Of larger ones the blocks run one by one first, then a few
+   documents of each component meet; last, all pairs of blocks that hold different components do, documents
+   being dealt to blocks by component, so that a large group of copies never meets itself again.
+
+No candidate is given up and no number of partners is capped. At the threshold a pair shares a table key
+with probability 0.9997, above it with more (the number of half keys follows from the threshold).
 
 Defined cases: null and empty texts have no shingles and are linked with nothing (their component is
 their own doc_id); fewer than five words make one shingle; a null doc_id can be neither named nor
-linked: component_id is null and the row is kept; repeated doc_ids stand for one document; an empty
-table gives an empty result; other columns are ignored.
+linked: component_id is null and the row is kept; repeated doc_ids stand for one document (`keep_one`
+leaves one of its identical rows); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .store import materialise, small_batches
-from .words import LOWER, _power_tables, _WORD_BASE, buffers, mix, slices, window_hashes, word_hashes, word_spans
+from .words import LOWER, buffers, mix, slices, window_keys, word_keys, word_spans
 
 SHINGLE = 5
 PERCENT = 85
 ROWS = 4
-HALVES = 12
-MIN_AGREE = 4
-#: First documents drawn for each key in every round but the first.
-DRAWS = 3
+#: A pair at the threshold is missed with this probability at most.
+MISSED = 3e-4
 SLICE = 1 << 20
-FLUSH_KEYS = 600_000
-PART_KEYS = 400_000
-#: Ids of documents to verify are broadcast up to this number (8 bytes each), and joined by a shuffle beyond it.
-BROADCAST_IDS = 2_000_000
-#: Documents of one key are compared in blocks of about this number.
-BLOCK = 128
-_rng = np.random.Generator(np.random.PCG64(977))
-_MULT = _rng.integers(1, 2**63, 2 * ROWS * HALVES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 2**63, 2 * ROWS * HALVES, dtype=np.uint64)
-
-
-def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all texts, sorted within each, and how many each text has."""
+#: Bytes of text of one block, and of a family that is compared as a whole.
+BLOCK = 6 << 20
+FAMILY = 96 << 20
+#: Documents of a component that meet those of others before all blocks do.
+MEETING = 4
+#: Bits of a bitmap for each shingle of the largest set, and 64-bit words of a bitmap at most.
+BITS, WORDS = 8, 512
+#: Rows to be compared are broadcast up to this number (40 bytes each), and joined by a shuffle beyond it.
+BROADCAST_ROWS = 1_000_000
+_LOW = np.uint64(63)
+
+
+def halves_for(percent: int) -> int:
+    """Half keys a side, so that a pair at the threshold shares a left and a right one."""
+    missed = 1 - (percent / 100) ** ROWS
+    return next(h for h in range(1, 32) if 2 * missed**h <= MISSED)
+
+
+def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of all texts (two 64-bit keys each), sorted within each text, and how many each has."""
     data, offsets = buffers(texts)
     data = LOWER[data]
     starts, ends, counts = word_spans(data, offsets)
-    hashes = word_hashes(data, starts, ends)
-    windows, per = window_hashes(hashes, counts, SHINGLE)
+    keys = word_keys(data, starts, ends)
+    first, second, per = window_keys(keys, counts, SHINGLE)
     doc = np.repeat(np.arange(len(counts)), per)
-    short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
-    if len(short):
-        up, down = _power_tables(_WORD_BASE, len(hashes) + 1)
-        sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-        np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
-        first = (np.cumsum(counts) - counts)[short]
-        whole = mix((sums[first + counts[short]] - sums[first]) * down[first] + counts[short].astype(np.uint64))
-        windows, doc = np.concatenate([windows, whole]), np.concatenate([doc, short])
-    order = np.lexsort((windows, doc))
-    windows, doc = windows[order], doc[order]
-    fresh = np.ones(len(windows), dtype=bool)
-    fresh[1:] = (windows[1:] != windows[:-1]) | (doc[1:] != doc[:-1])
-    return windows[fresh], np.bincount(doc[fresh], minlength=len(counts))
-
-
-def half_keys(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """2 * HALVES half keys of each set that isn't empty."""
+    at = np.cumsum(counts) - counts
+    for n in range(1, SHINGLE):
+        few = np.flatnonzero(counts == n)
+        if len(few):
+            own = (at[few][:, None] + np.arange(n)).ravel()
+            a, b, _ = window_keys((keys[0][own], keys[1][own]), np.full(len(few), n), n)
+            first, second, doc = np.concatenate([first, mix(a ^ np.uint64(n))]), np.concatenate([second, b]), np.concatenate([doc, few])
+    order = np.lexsort((first, doc))
+    first, second, doc = first[order], second[order], doc[order]
+    fresh = np.ones(len(first), dtype=bool)
+    fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (doc[1:] != doc[:-1])
+    return first[fresh], second[fresh], np.bincount(doc[fresh], minlength=len(counts))
+
+
+def half_keys(shingles: np.ndarray, sizes: np.ndarray, halves: int) -> np.ndarray:
+    """2 * halves half keys of each set that isn't empty; the low six bits of a key say which it is."""
+    rng = np.random.Generator(np.random.PCG64(977))
+    by, plus = rng.integers(1, 2**63, (2 * halves, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, (2 * halves, ROWS), dtype=np.uint64)
     starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    out = np.zeros((len(starts), 2 * HALVES), dtype=np.uint64)
-    for i in range(2 * HALVES if len(starts) else 0):
-        for r in range(i * ROWS, (i + 1) * ROWS):
-            out[:, i] = mix(out[:, i] + np.minimum.reduceat(sets * _MULT[r] + _ADD[r], starts))
+    out = np.zeros((len(starts), 2 * halves), dtype=np.uint64)
+    for i in range(2 * halves if len(starts) else 0):
+        for r in range(ROWS):
+            out[:, i] = mix(out[:, i] + np.minimum.reduceat(shingles * by[i, r] + plus[i, r], starts))
+        out[:, i] = out[:, i] & ~_LOW | np.uint64(i)
     return out
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in slices(batch, "text", SLICE):
-            sets, sizes = shingle_sets(piece.column("text"))
-            full = sizes > 0
-            starts = (np.cumsum(sizes) - sizes)[full]
-            digest = np.zeros((2, len(sizes)), dtype=np.uint64)
-            if len(starts):
-                digest[0, full] = np.add.reduceat(sets, starts)
-                digest[1, full] = np.add.reduceat(mix(sets ^ np.uint64(0x5851F42D4C957F2D)), starts)
-            keys = half_keys(sets, sizes).astype("<u8")
-            raw = iter(keys)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digest[0].view(np.int64)),
-                    pa.array(digest[1].view(np.int64)),
-                    pa.array([next(raw).tobytes() if x else None for x in full], pa.binary()),
-                ],
-                ["doc_id", "n_shingles", "d1", "d2", "halves"],
-            )
-
-
-def _order(keys: np.ndarray, nodes: np.ndarray, shared: np.ndarray, seed: int, hubs: bool) -> np.ndarray:
-    """Entries by key; within a key those that share most keys with others come first (hubs), or it is drawn
-    anew for each key and seed."""
-    if hubs:
-        return np.lexsort((nodes, -shared, keys))
-    return np.lexsort((mix(nodes.view(np.uint64) ^ mix(keys + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))), keys))
-
-
-def _links(keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries sorted by key and rank: which are the first of their key; pairs of a first one and
-    another of a different component, and the number of keys that made them."""
-    head = np.ones(len(keys), dtype=bool)
-    head[1:] = keys[1:] != keys[:-1]
-    at = np.maximum.accumulate(np.where(head, np.arange(len(keys)), 0))
-    other = comps != comps[at]
-    x, y = nodes[at][other], nodes[other]
-    return head, *_edges(np.minimum(x, y), np.maximum(x, y))
-
-
-def _edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs with the number of tables that made them."""
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    fresh = np.ones(len(a), dtype=bool)
-    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(fresh)
-    return a[at], b[at], np.diff(at, append=len(a))
-
-
-def table_keys(half: np.ndarray) -> np.ndarray:
-    """The keys of all tables, a row for each row of half keys."""
-    left, right = half[:, :HALVES], half[:, HALVES:]
-    keys = mix(left[:, :, None] * np.uint64(0x9E3779B97F4A7C15) + right[:, None, :]).reshape(len(half), -1)
-    return mix(keys ^ mix(np.arange(1, HALVES * HALVES + 1, dtype=np.uint64)))
-
-
-def _table_keys(shift: int, seeds: tuple[int, ...], turn: int):
-    """Each task's links (not in round 1), and for each key its first document, packed by ranges of keys."""
-    def flush(ids: list[np.ndarray], roots: list[np.ndarray], halves: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        node, comp, half = np.concatenate(ids), np.concatenate(roots), np.concatenate(halves)
-        keys = table_keys(half).ravel()
-        nodes, comps = np.repeat(node, HALVES * HALVES), np.repeat(comp, HALVES * HALVES)
-        _, place, size = np.unique(keys, return_inverse=True, return_counts=True)
-        shared = np.repeat((size[place] - 1).reshape(len(node), -1).sum(axis=1), HALVES * HALVES)
-        for seed in seeds:
-            yield from first_ones(seed, keys, nodes, comps, shared)
-
-    def first_ones(seed: int, keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray, shared: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = _order(keys, nodes, shared, seed, turn == 0)
-        keys, nodes, comps, shared = keys[order], nodes[order], comps[order], shared[order]
-        head, a, b, n = _links(keys, nodes, comps)
-        if turn == 1:
-            a, b, n = a[:0], b[:0], n[:0]
-        keys, nodes, comps, shared = keys[head], nodes[head], comps[head], shared[head]
-        part = (keys >> np.uint64(shift)).astype(np.int64)
-        cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(keys)]
-        shares = np.linspace(0, len(a), len(cuts)).astype(int)  # the links found here go along, a share with each range
-        for i in range(0, len(cuts) - 1, 64):
-            at = range(i, min(i + 64, len(cuts) - 1))
-            entries = [_pack(*(x[cuts[k] : cuts[k + 1]] for x in (keys, nodes, comps, shared))) for k in at]
-            links = [np.stack([x[shares[k] : shares[k + 1]].astype(np.int64) for x in (a, b, n)]).tobytes() for k in at]
-            yield pa.RecordBatch.from_arrays([pa.array([int(part[cuts[k]]) for k in at], pa.int64()), pa.array([seed] * len(at), pa.int32()), pa.array(entries, pa.binary()), pa.array(links, pa.binary())], ["part", "seed", "entries", "links"])
+def _sign(halves: int):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text", SLICE):
+                first, second, sizes = shingle_sets(piece.column("text"))
+                full = sizes > 0
+                starts = (np.cumsum(sizes) - sizes)[full]
+                digest = np.zeros((2, len(sizes)), dtype=np.uint64)
+                if len(starts):
+                    digest[0, full] = np.add.reduceat(mix(first ^ mix(second)), starts)
+                    digest[1, full] = np.add.reduceat(mix(second ^ mix(first + np.uint64(0x5851F42D4C957F2D))), starts)
+                raw = iter(half_keys(first, sizes, halves).astype("<u8"))
+                keys = pa.array([next(raw).tobytes() if x else None for x in full], pa.binary())
+                columns = [piece.column("doc_id"), piece.column("tag"), pa.array(sizes, pa.int64()), piece.column("size"), *(pa.array(d.view(np.int64)) for d in digest), keys]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "n_shingles", "size", "d1", "d2", "halves"])
+
+    return scan
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.octet_length(text).cast("long").alias("size"), text.alias("text"))
+
+
+def classes(docs: DataFrame, halves: int) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and one row per distinct shingle set with its smallest doc_id (node)."""
+    kinds = "doc_id long, tag long, n_shingles long, size long, d1 long, d2 long, halves binary"
+    signed = materialise(_texts(docs).mapInArrow(_sign(halves), kinds), "near-signatures")
+    linked = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").alias("node"), "tag", "size", "halves")).alias("f")
+    return signed, linked.groupBy("d1", "d2").agg(first, F.count("*").alias("members")).select("d1", "d2", "members", "f.*")
+
+
+def _matrix(column: pa.Array, halves: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(-1, 2 * halves)
+
 
+def _half_rows(halves: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, roots, halves, held = [], [], [], 0
-        for rows in batches:
-            for i in range(0, rows.num_rows, 2048):
-                piece = rows.slice(i, 2048)
-                ids.append(piece.column("node").to_numpy(zero_copy_only=False))
-                roots.append(piece.column("comp").to_numpy(zero_copy_only=False))
-                halves.append(np.frombuffer(b"".join(piece.column("halves").to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES))
-                held += len(ids[-1]) * HALVES * HALVES
-                if held >= FLUSH_KEYS:
-                    yield from flush(ids, roots, halves)
-                    ids, roots, halves, held = [], [], [], 0
-        if held:
-            yield from flush(ids, roots, halves)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                piece = batch.slice(i, 4096)
+                node = piece.column("node").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(_matrix(piece.column("halves"), halves).ravel().view(np.int64)), pa.array(np.repeat(node, 2 * halves))], ["half", "node"])
 
     return scan
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of the same weight together, which compresses sorted differences and small numbers."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
-
-
-def _pack(keys: np.ndarray, nodes: np.ndarray, comps: np.ndarray, shared: np.ndarray) -> bytes:
-    low = nodes.min()
-    return np.int64(low).tobytes() + b"".join(map(_planes, (np.diff(keys, prepend=np.uint64(0)), nodes - low, nodes - comps, shared.astype(np.int64))))
-
-
-def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    low = np.frombuffer(raw[:8], dtype=np.int64)[0]
-    body = np.frombuffer(raw, dtype=np.uint8, offset=8).reshape(4, 8, -1)
-    get = lambda x, kind: np.ascontiguousarray(x.T).view(kind).ravel()
-    nodes = get(body[1], np.int64) + low
-    return np.cumsum(get(body[0], np.uint64), dtype=np.uint64), nodes, nodes - get(body[2], np.int64), get(body[3], np.int64)
-
-
-def _meet(hubs: bool):
-    def meet(table: pa.Table) -> pa.Table:
-        """For one range of keys: links between the documents that tasks sent, and the links that they found."""
-        found = [np.frombuffer(x, dtype=np.int64).reshape(3, -1) for x in table.column("links").to_pylist()]
-        seeds = table.column("seed").to_numpy()
-        raw = table.column("entries").to_pylist()
-        for seed in sorted(set(seeds.tolist())):
-            keys, nodes, comps, shared = (np.concatenate(x) for x in zip(*[_unpack(raw[i]) for i in np.flatnonzero(seeds == seed)], strict=True))
-            order = _order(keys, nodes, shared, seed, hubs)
-            found.append(np.stack([x.astype(np.int64) for x in _links(keys[order], nodes[order], comps[order])[1:]]))
-        a, b, n = np.concatenate(found, axis=1)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
-
-    return meet
-
-
-def candidates(sets: DataFrame, rows: int, turn: int) -> DataFrame:
-    """(a, b): distinct pairs of `sets` (node, comp, halves) to verify. A document that shares a table key
-    with documents of other components is paired with the first one of that key, in its task and over all.
-
-    In round 0 the first one is that which shares most keys with others (the middle of a group of copies); in
-    round 1 the first ones over all are of that kind, met by documents drawn in each task; later all are drawn."""
-    spark = sets.sparkSession
-    seeds = tuple(range(DRAWS * (turn - 1) + 1, DRAWS * turn + 1)) if turn else (0,)
-    parts = max(256, rows * HALVES * HALVES // PART_KEYS)
-    shift = 64 - (int(parts) - 1).bit_length()
-    sent = sets.mapInArrow(_table_keys(shift, seeds, turn), "part long, seed int, entries binary, links binary")
-    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 20_000)
-    met = sent.repartition(wide, "part").groupBy("part").applyInArrow(_meet(turn < 2), "a long, b long, n long")
-    return met.groupBy("a", "b").agg(F.sum("n").alias("n"))
-
-
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ha, hb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES) for c in ("ha", "hb"))
-        agree = (ha == hb).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agree, pa.int64())], ["a", "b", "agree"]).filter(pa.array(agree >= MIN_AGREE))
-
-
-def promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose half keys agree often enough, and how often."""
-    halves = sets.select("node", "halves")
-    with_b = pairs.select("a", "b").join(halves.select(F.col("node").alias("b"), F.col("halves").alias("hb")), "b")
-    both = with_b.join(halves.select(F.col("node").alias("a"), F.col("halves").alias("ha")), "a")
-    return both.select("a", "b", "ha", "hb").mapInArrow(_agreeing, "a long, b long, agree long")
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, base = None, None
-    for batch in batches:
-        a, b = batch.column("a").to_numpy(zero_copy_only=False), batch.column("b").to_numpy(zero_copy_only=False)
-        ta, tb = batch.column("ta"), batch.column("tb")
-        good = np.zeros(len(a), dtype=bool)
-        for i in range(len(a)):
-            if last != a[i] or base is None or not ta[i].equals(text):
-                last, text = a[i], ta[i]
-                base = shingle_sets(pa.array([text.as_py()], pa.large_string()))[0]
-            other = shingle_sets(pa.array([tb[i].as_py()], pa.large_string()))[0]
-            both = len(np.intersect1d(base, other, assume_unique=True)) if min(len(base), len(other)) * 100 >= PERCENT * max(len(base), len(other)) else 0
-            good[i] = both > 0 and 100 * both >= PERCENT * (len(base) + len(other) - both)
-        yield pa.RecordBatch.from_arrays([pa.array(a[good], pa.int64()), pa.array(b[good], pa.int64())], ["a", "b"])
-
-
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; texts: (id, text)."""
-    need = materialise(pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct(), "near-need")
-    few = need.count() <= BROADCAST_IDS
-    texts = texts.join(F.broadcast(need) if few else need, texts["id"] == need["need"], "left_semi")
-    with_b = pairs.select("a", "b").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    both = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(_similar, "a long, b long").distinct()
-
-
-def _halves(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(-1, 2 * HALVES)
-
-
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each key of a batch: its smallest and largest component and the number of documents."""
-    for rows in batches:
-        for i in range(0, rows.num_rows, 4096):
-            piece = rows.slice(i, 4096)
-            keys, comps = table_keys(_halves(piece.column("halves"))).ravel(), np.repeat(piece.column("comp").to_numpy(zero_copy_only=False), HALVES * HALVES)
-            order = np.argsort(keys)
-            keys, comps = keys[order], comps[order]
-            at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=int)
-            low, high = (f.reduceat(comps, at) if len(at) else comps for f in (np.minimum, np.maximum))
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (keys[at], low, high, np.diff(at, append=len(keys)))], ["key", "low", "high", "n"])
-
-
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        for i in range(0, rows.num_rows, 4096):
-            piece = rows.slice(i, 4096)
-            keys, nodes = table_keys(_halves(piece.column("halves"))), piece.column("node").to_numpy(zero_copy_only=False)
-            table = np.tile(np.arange(HALVES * HALVES, dtype=np.int32), len(nodes))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(table), pa.array(np.repeat(nodes, HALVES * HALVES))], ["key", "table", "node"])
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each two blocks (x, y) of a key; rows come sorted by key, x, y. A
-    pair comes out of the first table that it shares only, and if its half keys agree often enough."""
-
-    def pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, x, y, block, table, node, comp, n = (rows.column(c).to_numpy() for c in ("key", "x", "y", "block", "table", "node", "comp", "n_shingles"))
-        half = _halves(rows.column("halves"))
-        cuts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0), [True]]))
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            for k in range(lo, hi - 1):  # one document against those after it
-                to = np.arange(k + 1, hi)
-                to = to[(comp[to] != comp[k]) & ((x[k] == y[k]) | (block[to] != block[k])) & (100 * np.minimum(n[to], n[k]) >= PERCENT * np.maximum(n[to], n[k]))]
-                if not len(to):
-                    continue
-                same = half[to] == half[k]
-                first = same[:, :HALVES].argmax(axis=1) * HALVES + same[:, HALVES:].argmax(axis=1)
-                to = to[(first == table[k]) & (same.sum(axis=1) >= MIN_AGREE)]
-                yield np.minimum(node[to], node[k]), np.maximum(node[to], node[k])
+def _table_rows(halves: int):
+    """The keys of those tables both of whose halves are shared."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                piece = batch.slice(i, 1024)
+                half, mask = _matrix(piece.column("halves"), halves), piece.column("mask").to_numpy().view(np.uint64)
+                shared = (mask[:, None] >> np.arange(2 * halves, dtype=np.uint64) & np.uint64(1)).astype(bool)
+                both = shared[:, :halves, None] & shared[:, None, halves:]
+                keys = mix(half[:, :halves, None] * np.uint64(0x9E3779B97F4A7C15) + half[:, None, halves:])
+                nodes = np.broadcast_to(piece.column("node").to_numpy()[:, None, None], both.shape)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[both].view(np.int64)), pa.array(nodes[both])], ["key", "node"])
+
+    return scan
+
+
+def _left_rows(halves: int):
+    """A document's shared left half keys, as groups."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            half, mask = _matrix(batch.column("halves"), halves)[:, :halves], batch.column("mask").to_numpy().view(np.uint64)
+            row, at = np.nonzero(mask[:, None] >> np.arange(halves, dtype=np.uint64) & np.uint64(1))
+            own = batch.take(pa.array(row)).select(["node", "tag", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(half[row, at].view(np.int64)), *own.columns], ["group", "node", "tag", "size"])
+
+    return scan
+
+
+def families(sets: DataFrame, halves: int) -> DataFrame:
+    """(group, node, tag, size): the documents that share table keys with others, in the groups whose members
+    are to be compared. sets: node, tag, size, halves."""
+    rows = sets.select("node", "halves").mapInArrow(_half_rows(halves), "half long, node long")
+    shared = rows.groupBy("half").agg(F.min("node").alias("m"), F.max("node").alias("o")).where("m <> o")
+    masks = rows.join(shared, "half", "left_semi").groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, cast(half & 63 AS int))")).alias("mask"))
+    left = (1 << halves) - 1
+    masks = masks.where(f"(mask & {left}L) <> 0 AND (mask & {left << halves}L) <> 0")
+    some = materialise(sets.join(masks, "node").select("node", "tag", "size", "halves", "mask"), "near-open")
+    keys = some.select("node", "halves", "mask").mapInArrow(_table_rows(halves), "key long, node long")
+    first = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("o")).where("a <> o").select("key", "a")
+    found = components(keys.join(first, "key").where("node <> a").select("a", F.col("node").alias("b")))
+    found = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    members = materialise(some.join(found, "node"), "near-families")
+    large = materialise(members.groupBy("root").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > FAMILY), "near-large")
+    out = members.join(large, "root", "left_anti").select(F.col("root").alias("group"), "node", "tag", "size")
+    if large.isEmpty():
+        return out
+    by_left = members.join(large, "root", "left_semi").select("node", "tag", "size", "halves", "mask")
+    return out.unionByName(by_left.mapInArrow(_left_rows(halves), "group long, node long, tag long, size long"))
+
+
+def _bitmaps(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    words = min(WORDS, max(4, 1 << (int(sizes.max()) * BITS // 64).bit_length()))
+    out = np.empty((len(sizes), words), dtype=np.uint64)
+    ends = np.cumsum(sizes)
+    for i in range(0, len(sizes), 1024):
+        some = sizes[i : i + 1024]
+        flags = np.zeros((len(some), words * 64), dtype=bool)
+        own = shingles[ends[i] - sizes[i] : ends[i + len(some) - 1]]
+        flags[np.repeat(np.arange(len(some)), some), own >> np.uint64(64 - (words * 64).bit_length() + 1)] = True
+        out[i : i + 1024] = np.packbits(flags, axis=1).view(np.uint64)
+    return out
+
+
+def similar(texts: pa.Array, comps: np.ndarray, sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of `texts` (all equal, or those of different sides only): a forest."""
+    parts = [shingle_sets(p.column("text")) for p in slices(pa.table({"text": texts}), "text", SLICE)]
+    first, second, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    starts = np.cumsum(sizes) - sizes
+    maps = _bitmaps(first, sizes)
+    order = np.argsort(sizes, kind="stable")
+    size, maps, label, side = sizes[order], maps[order], np.unique(comps, return_inverse=True)[1][order], sides[order]
+    two = (side != side[0]).any()
+    upto = np.searchsorted(size, size * 100 // percent, side="right")
+    out = []
+    for i in range(len(size)):
+        to = np.arange(i + 1, upto[i])
+        differs = label[to] != label[i]
+        to = to[differs & (side[to] != side[i])] if two else to[differs]
+        if not len(to):
+            continue
+        apart = np.bitwise_count(maps[to] ^ maps[i]).sum(axis=1, dtype=np.int64)
+        for j in to[apart * (100 + percent) <= (100 - percent) * (size[to] + size[i])]:
+            if label[j] == label[i]:
+                continue
+            x, y = (slice(starts[order[k]], starts[order[k]] + size[k]) for k in (i, j))
+            at = np.minimum(np.searchsorted(first[y], first[x]), size[j] - 1)
+            both = int(((first[y][at] == first[x]) & (second[y][at] == second[x])).sum())
+            if 100 * both >= percent * (size[i] + size[j] - both):
+                out.append((int(order[i]), int(order[j])))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def _compare(percent: int):
+    """Links within each run of rows with equal group, x and y; rows come sorted by these."""
 
     def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        found = list(pairs(rows)) if rows.num_rows else []
+        if not rows.num_rows:
+            return
+        key = np.stack([rows.column(c).to_numpy() for c in ("group", "x", "y")])
+        cuts = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0).any(axis=0), [True]]))
+        found = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            own = rows.slice(lo, hi - lo)
+            if hi - lo > 1:
+                node, comp, side = (own.column(c).to_numpy() for c in ("node", "comp", "block"))
+                found += [(node[i], node[j]) for i, j in similar(own.column("text").combine_chunks(), comp, side, percent)]
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(side), pa.int64()) for side in zip(*found, strict=True)], ["a", "b"])
+            a, b = np.array(found, dtype=np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            last = np.ones(held.num_rows, dtype=bool)
+            for c in ("group", "x", "y"):
+                v = held.column(c).to_numpy()
+                last &= v == v[-1]
+            at = held.num_rows - int(last.sum())  # the last run may go on in the next batch
+            yield from out(held.slice(0, at))
+            held = held.slice(at)
+        if held is not None:
+            yield from out(held)
+
+    return scan
+
+
+def confirmed(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links found among `rows` (group, x, y, block, node, tag, comp) that share group, x and y."""
+    rows = materialise(rows.select("group", "x", "y", "block", "node", "tag", "comp"), "near-rows")
+    n = rows.count()
+    bound = lambda df: F.broadcast(df) if n <= BROADCAST_ROWS else df
+    need = bound(rows.select(F.col("node").alias("_id"), F.col("tag").alias("_tag")).distinct())
+    once = texts.join(need, (F.col("doc_id") == F.col("_id")) & (F.col("tag") == F.col("_tag")), "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.first("text").alias("text"))
+    joined = once.join(bound(rows), (F.col("node") == F.col("_id")) & (F.col("tag") == F.col("_tag")))
+    wide = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 10_000)
+    met = joined.select("group", "x", "y", "block", "node", "comp", "text").repartition(wide, "group", "x", "y").sortWithinPartitions("group", "x", "y")
+    return materialise(met.mapInArrow(_compare(percent), "a long, b long"), "near-links")
 
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
-        held = rows if held is None else pa.concat_tables([held, rows])
-        last = np.ones(held.num_rows, dtype=bool)
-        for c in ("key", "x", "y"):
-            v = held.column(c).to_numpy()
-            last &= v == v[-1]
-        at = held.num_rows - int(last.sum())  # the last blocks may go on in the next batch
-        yield from out(held.slice(0, at))
-        held = held.slice(at).combine_chunks()
-    if held is not None:
-        yield from out(held)
-
-
-def unsettled(sets: DataFrame, checked: DataFrame) -> DataFrame:
-    """(a, b): all pairs of `sets` (node, comp, halves, n_shingles) of different components that share a table
-    key, have similar sizes and agreeing half keys, and are not among `checked`."""
-    spark = sets.sparkSession
-    spans = sets.select("comp", "halves").mapInArrow(_spans, "key long, low long, high long, n long")
-    mixed = spans.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).where("low <> high")
-    mixed = materialise(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "near-mixed")
-    entries = sets.select("node", "halves").mapInArrow(_entries, "key long, table int, node long").join(mixed, "key")
-    entries = entries.withColumn("block", F.expr("cast(pmod(xxhash64(node, key), blocks) AS int)"))
-    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    entries = entries.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "table", "node")
-    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
-    met = entries.join(sets, "node").repartition(wide, "key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return met.mapInArrow(_across, "a long, b long").join(checked, ["a", "b"], "left_anti")
-
-
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Signatures of all rows, and one row per distinct shingle set with its smallest doc_id (node)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialise(texts.mapInArrow(_sign, "doc_id long, n_shingles long, d1 long, d2 long, halves binary"), "near-signatures")
-    linked = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    return signed, linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.count("*").alias("members"), F.first("halves").alias("halves"), F.first("n_shingles").alias("n_shingles"))
+
+def _dealt(rows: DataFrame, by: Column) -> DataFrame:
+    """`rows` with a block of its group for each, about `BLOCK` bytes; rows with equal `by` go together."""
+    blocks = rows.groupBy(F.col("group").alias("_g")).agg(F.ceil(F.sum("size") / BLOCK).alias("blocks"))
+    out = rows.join(blocks, rows["group"] == blocks["_g"]).drop("_g")
+    return out.withColumn("block", F.pmod(F.xxhash64("group", by), F.greatest("blocks", F.lit(1))))
+
+
+def _alone(rows: DataFrame) -> DataFrame:
+    """Each block for itself."""
+    return rows.withColumns({"x": F.col("block"), "y": F.col("block")})
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -382,39 +309,64 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     between = links.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("ra", "a").alias("x"), F.coalesce("rb", "b").alias("y"))
     moved = components(between.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     to = moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))
-    return roots.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root")).unionByName(moved)
-
-
-def near_dedup(docs: DataFrame) -> DataFrame:
+    return materialise(roots.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root")).unionByName(moved), "near-roots")
+
+
+def _with_comp(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """`rows` of groups that hold several components, with comp."""
+    rows = materialise(rows.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root"), "near-comps")
+    mixed = rows.groupBy("group").agg(F.min("comp").alias("m"), F.max("comp").alias("o")).where("m <> o")
+    return rows.join(mixed, "group", "left_semi")
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """A few documents of each component of a group, in blocks."""
+    own = ["node", "tag", "size"]
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(seed), "node"), *own)) for seed in range(MEETING)]
+    some = rows.groupBy("group", "comp").agg(F.array_distinct(F.transform(F.array(*drawn), lambda x: F.struct(x["node"].alias("node"), x["tag"].alias("tag"), x["size"].alias("size")))).alias("_some"))
+    return _alone(_dealt(some.select("group", "comp", F.explode("_some").alias("_s")).select("group", "comp", "_s.*"), F.col("node")))
+
+
+def _crossing(rows: DataFrame) -> DataFrame:
+    """All pairs of blocks that hold different components: large components have blocks of their own."""
+    per = rows.groupBy("group", "comp").agg(F.sum("size").alias("_bytes"))
+    per = materialise(per.withColumn("_own", F.col("_bytes") * 2 >= BLOCK), "near-sizes")
+    rest = per.where("NOT _own").groupBy("group").agg(F.ceil(F.sum("_bytes") / BLOCK).alias("_rest"))
+    rows = rows.join(per, ["group", "comp"]).join(rest, "group", "left")
+    own = F.xxhash64(F.lit(1), "comp", F.pmod(F.xxhash64("node"), F.ceil(F.col("_bytes") / BLOCK)))
+    shared = F.xxhash64(F.lit(2), F.pmod(F.xxhash64("comp"), F.greatest("_rest", F.lit(1))))
+    rows = rows.select("group", "node", "tag", "comp", F.when(F.col("_own"), own).otherwise(shared).alias("block"), F.when(F.col("_own"), F.col("comp")).alias("only"))
+    rows = materialise(rows, "near-blocks")
+    blocks = rows.select("group", "block", "only").distinct()
+    other = blocks.select(F.col("group").alias("_g"), F.col("block").alias("y"), F.col("only").alias("_o"))
+    pairs = blocks.withColumnRenamed("block", "x").join(other, F.col("group") == F.col("_g"))
+    pairs = pairs.where("(x < y AND coalesce(only <> _o, true)) OR (x = y AND only IS NULL)").select("group", "x", "y")
+    sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("x", "y"))))
+    return rows.drop("only").join(sides, ["group", "block"])
+
+
+def links_of(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(node, root): components of all links among `members` (group, node, tag, size); roots left out."""
+    members = materialise(members, "near-members")
+    first = _dealt(members, F.col("node")).withColumn("comp", F.col("node"))
+    roots = components(confirmed(_alone(first), texts, percent))
+    several = members.groupBy("group").agg(F.sum("size").alias("_bytes")).where(F.col("_bytes") > BLOCK).select("group")
+    several = materialise(several, "near-several")
+    if several.isEmpty():
+        return roots
+    rest = members.join(several, "group", "left_semi")
+    for rows in (_meeting, _crossing):
+        roots = _joined(roots, confirmed(rows(_with_comp(rest, roots)), texts, percent))
+    return roots
+
+
+def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs` (doc_id, text)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    signed, sets = classes(docs)
+    small_batches(docs.sparkSession)
+    halves = halves_for(percent)
+    signed, sets = classes(docs, halves)
     sets = materialise(sets, "near-classes")
-    rows = sets.count()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    roots = spark.createDataFrame([], "node long, root long")
-    checked, sets_open = None, sets
-    for turn in count():
-        named = sets_open.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "halves")
-        pairs = materialise(candidates(named, rows, turn), "near-raw")
-        if turn:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        else:  # who meets nobody in any table now, while all are apart, never does
-            met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            sets_open = materialise(sets.join(met, "node", "left_semi").select("node", "halves", "n_shingles").repartition("node"), "near-open")
-        pairs = promising(pairs, sets_open)
-        if turn == 0:  # most documents are joined by their strongest candidate; what is left comes later
-            pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
-        pairs = materialise(pairs.select("a", "b"), "near-pairs")
-        new = materialise(verify(pairs, texts), "near-links")
-        if turn > 1 and new.isEmpty():
-            break
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        roots = materialise(_joined(roots, new), "near-roots")
-    named = sets_open.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "halves", "n_shingles")
-    pairs = materialise(unsettled(named, checked.unionByName(pairs)), "near-rest")
-    roots = materialise(_joined(roots, materialise(verify(pairs, texts), "near-links")), "near-roots")
+    roots = links_of(families(sets.select("node", "tag", "size", "halves"), halves), _texts(docs).drop("size"), percent)
     small = sets.join(roots, "node", "left").where("members > 1 OR root IS NOT NULL")
     named = materialise(small.select("d1", "d2", F.coalesce("root", "node").alias("component_id")), "near-components")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
@@ -426,7 +378,13 @@ def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` that stay when one document of each component does, unchanged."""
-    gone = near_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    found = materialise(near_dedup(docs, percent).select("doc_id", "kept"), "near-kept")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    twice = materialise(found.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id"), "near-twice")
+    if twice.isEmpty():
+        return left
+    same = docs["doc_id"] == F.col("_id")
+    return left.join(twice, same, "left_anti").unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
