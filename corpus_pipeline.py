@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_dedup.keep_one(docs.select(*COLUMNS))
+    """One document of each group of near copies (similarity of 0.8 or more)."""
+    return near_dedup.keep_one(docs.select(*COLUMNS), percent=80)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
