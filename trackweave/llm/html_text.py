@@ -1,20 +1,23 @@
 """HTML extraction by the maximum-scoring subsequence.
 
-1. A page becomes a sequence of tags and runs of words. Words score positive and tags negative; the
-   weights are log odds of standing inside or outside the article, counted on labelled pages (a bounded
-   sample of those that mark their article with <article> or <main>).
-2. One linear scan finds the contiguous region with the highest sum.
-3. The region is widened to the smallest element that holds nearly all of its words (the enclosing
-   <article> or <main>, if there is one), so that short first and last blocks stay whole. Its blocks are
-   the result, without those inside menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-   styles and reader comments, told by element names, roles and class or id words.
+1. One linear pass turns a page into a sequence of tags and runs of words. What the contract excludes by
+   structure (menus, headers, footers, asides, forms, hidden parts, told by element names and roles) is not in
+   the sequence; scripts, styles and comments of the markup are not even read.
+2. Words score by the elements around them: a base weight and the weights of element names and of class and id
+   words, naive Bayes log odds of standing inside the article. Tags score negative. The weights are counted on
+   labelled pages (a bounded sample of those that mark their article with <article> or <main>; the marks
+   themselves are no feature), with `PRIOR` counts for names that the sample may lack.
+3. One linear scan finds the contiguous region with the highest sum. Its blocks are the result, without those
+   whose own words score negative (adverts, notices or comments in the midst of the article).
 
 Character references are decoded; white space inside a block becomes one space; blocks are joined in
-page order by one line feed. Nothing else is dropped or capped.
+page order by one line feed. Nothing else is dropped or capped. Parsing takes time in proportion to the page,
+whatever its markup.
 
-Defined cases: null or empty html, and pages without words in their body, give the empty text; repeated
-rows are extracted alike; broken markup is read as it stands (unclosed elements end with their parent);
-an empty table gives an empty result; other columns are ignored.
+Defined cases: null or empty html, and pages without a word that scores positive, give the empty text;
+repeated rows are extracted alike; broken markup is read as it stands (unclosed elements end with their parent, an
+unclosed quote ends with its tag, a "<" that begins no tag is text); an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,11 +34,17 @@ from pyspark.sql import functions as F
 
 from .store import smallest
 
-
 MAX_LABELLED = 400
-#: Weights used where no page is labelled.
-DEFAULT_WEIGHTS = {"words": 1.0, "link words": 0.2, "tag": -2.0}
-SHARE = 0.9
+#: Bytes of html of the labelled pages, at most; larger pages than `MAX_PAGE` are no labelled ones.
+MAX_PAGE = 1 << 18
+#: Words counted for the article and against it before any page is seen, for each listed name.
+PRIOR = 40.0
+#: Weight of a word about which nothing is known.
+BASE = 0.5
+#: Bounds of the weight of one feature, of a word and of a tag.
+FEATURE, WORD, TAG = (-4.0, 4.0), (-1.5, 1.5), (-2.0, -0.2)
+#: Tags whose quotes may be open to the end of the page; from then on a tag ends with the first ">".
+OPEN_QUOTES = 50
 
 _words = lambda s: frozenset(s.split())
 #: Element names and words of classes, ids and roles.
@@ -53,146 +62,213 @@ NAMES = _words(
     " sponsors subscribe subscription tagcloud teaser teasers toolbar tooltip topbar trending widget widgets"
 )
 NOT_NAMES = _words("has with no without")
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+#: Elements that hold the text of articles.
+TEXT = _words("p h1 h2 h3 h4 blockquote pre figcaption")
+#: Elements that say nothing about what they hold.
+GENERIC = _words("html body main article section div span center table tbody thead tfoot tr td font")
+_NAME = re.compile(r"[a-zA-Z][^\s/><\"'=]*+")
+_REST = re.compile(r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 _PART = re.compile(r"[a-z]+")
+_HIDDEN = re.compile(r"display\s*+:\s*+none")
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
 
-def _boilerplate(name: str, attributes: str) -> bool:
-    if name in BOILERPLATE:
-        return True
+def _features(name: str, attributes: str) -> tuple[bool, list[str]]:
+    """Whether an element is left out for its structure, and its features."""
+    skip, found = name in BOILERPLATE, [] if name in GENERIC else [name]
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return skip, found
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id") and name not in ("html", "body", "main"):
             for word in value.split():
                 parts = _PART.findall(word)
-                if NAMES.intersection(parts) and not NOT_NAMES.intersection(parts):
-                    return True
-        elif key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        elif key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+                if not NOT_NAMES.intersection(parts):
+                    found += [f".{part}" for part in parts]
+        elif key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
+            skip = True
+    return skip, found
 
 
 class Page:
-    """events: (kind, weight key or number of words, block); blocks: text, element, whether it is boilerplate."""
+    """events: (words, tag, block, element), words being 0 for a tag; blocks: text; elements by number: parent, name,
+    features, and whether it is left out for its structure."""
 
     def __init__(self, source: str):
-        self.events: list[tuple[str, int, int, int]] = []  # kind, words, block, element
-        self.blocks: list[tuple[str, int]] = []
-        self.parents, self.names, self.skipped = [-1], [""], [False]
-        self._open, self._text, self._inline = [0], [], 0
-        at = 0
-        while at < len(source):
-            m = _TOKEN.search(source, at)
-            if m is None:
-                self._data(source[at:])
+        self.events: list[tuple[int, str, int, int]] = []
+        self.blocks: list[str] = []
+        self.parents, self.names, self.features, self.skipped = [0], [""], [[]], [False]
+        self._open, self._count, self._text, self._link, self._failed, self._next = [0], Counter(), [], False, 0, -1
+        at, size = 0, len(source)
+        while at < size:
+            start = source.find("<", at)
+            if start < 0:
                 break
-            self._data(source[at : m.start()])
-            at = m.end()
-            if m[2] is None:
-                if m[0].startswith("<![CDATA["):
-                    self._data(entities.escape(m[0][9:].removesuffix("]]>"), quote=False))
-                continue
-            name = m[2].lower()
-            if name in RAW and not m[1]:
-                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else len(source)
-                continue
-            self._tag(name, bool(m[1]), m[3])
+            self._data(source[at:start])
+            at = self._markup(source, start)
+        self._data(source[at:])
         self._flush()
 
+    def _markup(self, source: str, at: int) -> int:
+        """Read what begins with the "<" at `at`; where to go on."""
+
+        def after(mark: str, begin: int) -> int:
+            end = source.find(mark, begin)
+            return len(source) if end < 0 else end + len(mark)
+
+        if source.startswith("<!--", at):
+            return after("-->", at + 4)
+        if source.startswith("<![CDATA[", at):
+            end = after("]]>", at + 9)
+            self._data(entities.escape(source[at + 9 : end].removesuffix("]]>"), quote=False))
+            return end
+        if source.startswith(("<!", "<?"), at):
+            return after(">", at + 2)
+        closing = source.startswith("</", at)
+        named = _NAME.match(source, at + 1 + closing)
+        if not named:
+            self._data("<")
+            return at + 1
+        name, rest = named[0].lower(), None
+        if self._failed < OPEN_QUOTES:
+            rest = _REST.match(source, named.end())
+            self._failed += rest is None
+        if rest:
+            end = rest.end()
+        else:
+            if self._next < named.end():  # the next ">", looked for once
+                self._next = after(">", named.end()) - 1
+            end = self._next + 1
+            if self._next >= len(source) - 1 and source[-1] != ">" or 0 <= source.find("<", named.end()) < end:  # no tag at all
+                self._data("<")
+                return at + 1
+        if name in RAW and not closing:
+            found = _ENDS[name].search(source, end)
+            return after(">", found.end()) if found else len(source)
+        self._tag(name, closing, source[named.end() : end - 1])
+        return end
+
     def _data(self, raw: str) -> None:
         if raw:
             self._text.append(raw)
             n = len(raw.split())
             if n:
-                self.events.append(("link words" if self._inline else "words", n, len(self.blocks), self._open[-1]))
+                self.events.append((n, "a" if self._link else "", len(self.blocks), self._open[-1]))
 
     def _flush(self) -> None:
-        text = " ".join(entities.unescape("".join(self._text)).split())
+        self.blocks.append(" ".join(entities.unescape("".join(self._text)).split()))
         self._text = []
-        self.blocks.append((text, self._open[-1]))
 
     def _tag(self, name: str, closing: bool, attributes: str) -> None:
         if name in BLOCKS:
             self._flush()
-            self._inline = 0
+            self._link = False
         elif name == "br":
             self._text.append(" ")
         elif name == "a":
-            self._inline = 0 if closing else 1
-        self.events.append((f"{'/' if closing else ''}{name}", 0, len(self.blocks), self._open[-1]))
-        if name not in CONTAINERS and not (name in BLOCKS and not closing and _boilerplate(name, attributes)):
-            if closing and name in BLOCKS and self.names[self._open[-1]] == name:
-                self._open.pop()  # a boilerplate block that isn't a container
+            self._link = not closing
+        self.events.append((0, f"{'/' if closing else ''}{name}", len(self.blocks), self._open[-1]))
+        if name not in BLOCKS or name in VOID:
             return
         if closing:
-            for i in range(len(self._open) - 1, 0, -1):
-                if self.names[self._open[i]] == name:
-                    del self._open[i:]
-                    break
-        elif name not in VOID:
-            if name not in CONTAINERS or attributes.rstrip().endswith("/") and name == "svg":
-                while self.names[self._open[-1]] not in CONTAINERS and len(self._open) > 1:
-                    self._open.pop()
-            parent = self._open[-1]
-            self.parents.append(parent)
-            self.names.append(name)
-            self.skipped.append(self.skipped[parent] or _boilerplate(name, attributes))
-            self._open.append(len(self.names) - 1)
-
-    def inside(self, element: int, outer: int) -> bool:
-        while element > outer:
-            element = self.parents[element]
-        return element == outer
-
-    def marked(self) -> int | None:
-        """The element that the page itself marks as its article: the one with most words."""
-        words: Counter = Counter()
-        for kind, n, _, element in self.events:
+            while self._count[name] and self._pop() != name:
+                pass
+            return
+        skip, features = _features(name, attributes)
+        if name == "svg" and attributes.rstrip().endswith("/"):
+            return
+        while len(self._open) > 1 and self.names[self._open[-1]] not in CONTAINERS:
+            self._pop()  # a block that holds text ends where the next one begins
+        parent = self._open[-1]
+        self.parents.append(parent)
+        self.names.append(name)
+        self.features.append(features)
+        self.skipped.append(self.skipped[parent] or skip)
+        self._open.append(len(self.names) - 1)
+        self._count[name] += 1
+
+    def _pop(self) -> str:
+        name = self.names[self._open.pop()]
+        self._count[name] -= 1
+        return name
+
+    def marked(self) -> list[bool] | None:
+        """Of each element, whether it is in the one that the page marks as its article (that with most words)."""
+        words = [0] * len(self.names)
+        for n, _, _, element in self.events:
             if n and not self.skipped[element]:
-                while element > 0:
-                    if self.names[element] in ARTICLE:
-                        words[element] += n
-                    element = self.parents[element]
-        return max(words, key=lambda e: (words[e], e)) if words else None
+                words[element] += n
+        for element in range(len(words) - 1, 0, -1):
+            words[self.parents[element]] += words[element]
+        best = max((e for e, name in enumerate(self.names) if name in ARTICLE and words[e]), key=lambda e: (words[e], e), default=None)
+        if best is None:
+            return None
+        inside = [False] * len(words)
+        for element in range(best, len(words)):
+            inside[element] = element == best or inside[self.parents[element]]
+        return inside
 
 
 def learn(sources: list[str]) -> dict[str, float]:
-    """Weights of words, link words and tags from labelled pages."""
-    inside, outside = Counter(), Counter()
+    """Weights of features (names of elements, class and id words, "a" for words of links), of tags (as "<p",
+    "</p") and the base weight of a word ("")."""
+    counts: tuple[Counter, Counter] = Counter(), Counter()  # outside, inside
+    for feature in [f".{x}" for x in NAMES] + ["a"]:
+        counts[0][feature] += PRIOR
+    for feature in TEXT:
+        counts[1][feature] += PRIOR
     for source in sources:
         page = Page(source)
-        article = page.marked()
-        if article is None:
+        inside = page.marked()
+        if inside is None:
             continue
-        for kind, n, _, element in page.events:
-            hit = page.inside(element, article) and not page.skipped[element]
-            (inside if hit else outside)[kind] += n or 1
-    if not inside:
-        return dict(DEFAULT_WEIGHTS)
-    base = sum(inside.values()) / max(1, sum(outside.values()))
-    odds = {k: math.log((inside[k] + 1) / (outside[k] + 1) / base) for k in inside | outside}
-    weights = {k: min(-0.5, v - 1.0) for k, v in odds.items() if k not in ("words", "link words")}
-    weights["words"] = max(0.5, odds.get("words", 1.0))
-    weights["link words"] = min(weights["words"], max(0.05, odds.get("link words", 0.2)))
-    weights["tag"] = DEFAULT_WEIGHTS["tag"]
+        words = [[0, 0] for _ in page.names]
+        for n, tag, _, element in page.events:
+            if page.skipped[element]:
+                continue
+            if n:
+                words[element][inside[element]] += n
+                counts[inside[element]]["a"] += n if tag else 0
+            else:
+                counts[inside[element]]["<" + tag] += 1
+        for element in range(len(words) - 1, 0, -1):
+            for k in (0, 1):
+                for feature in page.features[element]:
+                    counts[k][feature] += words[element][k]
+                words[page.parents[element]][k] += words[element][k]
+        for k in (0, 1):
+            counts[k][""] += words[0][k]
+    base = math.log((counts[1][""] + 1) / (counts[0][""] + 1))
+    weights = {"": BASE}
+    for feature in sorted({*counts[0], *counts[1]} - {""}):
+        odds = math.log((counts[1][feature] + 1) / (counts[0][feature] + 1))
+        low, high = TAG if feature.startswith("<") else FEATURE
+        seen = counts[0][feature] + counts[1][feature] > PRIOR
+        weights[feature] = min(max(odds - max(base, 0.0) * seen, low), high)
     return weights
 
 
-def region(page: Page, weights: dict[str, float]) -> tuple[int, int]:
-    """First and last event of the maximum-scoring subsequence, in one scan."""
-    other = weights["tag"]
-    best, span, total, start = 0.0, (0, -1), 0.0, 0
-    for i, (kind, n, _, element) in enumerate(page.events):
-        if n:
-            score = 0.0 if page.skipped[element] else n * weights[kind]
+def scores(page: Page, weights: dict[str, float]) -> list[float]:
+    """The score of each event."""
+    around = [weights.get("", BASE)] * len(page.names)
+    for element in range(1, len(around)):
+        around[element] = around[page.parents[element]] + sum(weights.get(f, 0.0) for f in page.features[element])
+    out = []
+    for n, tag, _, element in page.events:
+        if page.skipped[element]:
+            out.append(0.0)
+        elif n:
+            out.append(n * min(max(around[element] + (weights.get(tag, 0.0) if tag else 0.0), WORD[0]), WORD[1]))
         else:
-            score = weights.get(kind, other)
+            out.append(weights.get("<" + tag, TAG[1]))
+    return out
+
+
+def region(values: list[float]) -> tuple[int, int]:
+    """First and last place of the maximum-scoring subsequence, in one scan; the first and shortest of equal ones."""
+    best, span, total, start = 0.0, (0, -1), 0.0, 0
+    for i, score in enumerate(values):
         if total <= 0:
             total, start = 0.0, i
         total += score
@@ -203,29 +279,21 @@ def region(page: Page, weights: dict[str, float]) -> tuple[int, int]:
 
 def extract(source: str | None, weights: dict[str, float]) -> str:
     page = Page(source or "")
-    first, last = region(page, weights)
-    words: Counter = Counter()
-    for _, n, _, element in page.events[first : last + 1]:
-        if n and not page.skipped[element]:
-            while element >= 0:
-                words[element] += n
-                element = page.parents[element]
-    if not words:
+    values = scores(page, weights)
+    first, last = region(values)
+    if last < first:
         return ""
-    outer = max((e for e in words if words[e] >= SHARE * words[0]), default=0)  # inner elements come later
-    at = outer
-    while at > 0:
-        if page.names[at] in ARTICLE:
-            outer = at
-            if page.names[at] == "article":
-                break
-        at = page.parents[at]
-    return "\n".join(text for text, element in page.blocks if text and not page.skipped[element] and page.inside(element, outer))
+    own: Counter = Counter()  # of each block, the score of its words
+    for (n, _, block, element), value in zip(page.events, values, strict=True):
+        if n and not page.skipped[element]:
+            own[block] += value
+    return "\n".join(page.blocks[k] for k in range(page.events[first][2], page.events[last][2] + 1) if own[k] > 0 and page.blocks[k])
 
 
 def labelled(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> list[str]:
-    """Up to `max_labelled` pages that mark their article, those with the smallest hashes of their html."""
-    marked = pages.where(F.lower("html").rlike("<(article|main)[\\s>]")).select("html")
+    """Up to `max_labelled` pages of at most `MAX_PAGE` bytes that mark their article, those with the smallest hashes of
+    their html."""
+    marked = pages.where(F.octet_length("html") <= MAX_PAGE).where(F.lower("html").rlike("<(article|main)[\\s>]")).select("html")
     return sorted({r["html"] for r in smallest(marked, F.xxhash64("html"), max_labelled).collect()})
 
 
