@@ -15,8 +15,8 @@ from .topology import _TRACKS
 
 
 def vector_tiles(spark, sf_dir: str) -> DataFrame:
-    """Encoded tiles of the points of all turnouts, with their number of features."""
-    c = G.with_tile(G.zoom_fanout(_lnglat(_candidates(spark, sf_dir, "type = 't'")), _FILTERS))
+    """Encoded tiles of the points of all tracks, with their number of features."""
+    c = G.with_tile(G.zoom_fanout(_lnglat(_candidates(spark, sf_dir)), _FILTERS))
     t = mvt.tiles(c.select("z_level", "tile_x", "tile_y", "lng", "lat", "uuid_edge", "edge_idx", "radius", "well_defined"))
     return t.select("z", "x", "y", "n", (F.length("data") > 0).alias("has_data"))
 
@@ -49,6 +49,6 @@ def main_line_extract(spark, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (vector_tiles, fgb_features, wkb_roundtrip, main_line_extract)}
 ORACLES = {
     "vector_tiles": f"""{_POINTS}{_FAN} SELECT z, x, y, count(*) AS n, true AS has_data FROM (SELECT z, {_TILES} FROM (SELECT level AS z, 5.9::double + points.x / 100000 AS lng, 45.8::double + points.y / 100000 AS lat
-      FROM points JOIN tracks USING (uuid_track) JOIN fan ON zoom <= most WHERE type = 't')) GROUP BY z, x, y""",
+      FROM points JOIN fan ON zoom <= most)) GROUP BY z, x, y""",
     "wkb_roundtrip": f"{_TRACKS} SELECT uuid_track, 3 AS n_points, round(ax + 3 * ay + 7 * az + mx + 3 * my + 7 * mz + bx + 3 * \"by\" + 7 * bz, 6) AS checksum FROM tracks",
 }

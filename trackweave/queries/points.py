@@ -11,6 +11,7 @@ from ..operators import gold as G
 from ..operators import loads as L
 from ..operators import points as P
 from ..operators import snap as S
+from ..plans.store import cut
 from .topology import _LINES, _TRACKS, _edges, _points_sql
 
 _HEX = "substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-3' || substr({h}, 14, 3) || '-' || substr('89ab', ((instr('0123456789abcdef', substr({h}, 17, 1)) - 1) & 3) + 1, 1) || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
@@ -69,16 +70,16 @@ def _lnglat(df: DataFrame) -> DataFrame:
     return df.withColumns({"lng": F.expr("5.9D + x / 100000D"), "lat": F.expr("45.8D + y / 100000D")})
 
 
-def _candidates(spark, sf_dir: str, where: str = "true") -> DataFrame:
-    t = fixtures.tracks(spark, sf_dir).where(where).withColumnRenamed("uuid_track", "uuid_edge")
+def _candidates(spark, sf_dir: str) -> DataFrame:
+    t = fixtures.tracks(spark, sf_dir).withColumnRenamed("uuid_track", "uuid_edge")
     return P.edge_points(t, ["uuid_edge", "tags", "k"]).withColumn("prio", F.expr("cast(1 + k % 2 AS smallint)"))
 
 
 def snap_nearest_existing(spark, sf_dir: str) -> DataFrame:
-    """Every point of the chain tracks against every 7th one of all tracks, moved by (0.10, 0.05)."""
-    c = _candidates(spark, sf_dir)
+    """Every point against every 7th one of all tracks, moved by (0.10, 0.05)."""
+    c = cut(_candidates(spark, sf_dir).select("uuid_edge", "edge_idx", "x", "y", "z"), "candidates")
     existing = c.where("edge_idx % 7 = 0").selectExpr("concat(uuid_edge, '#', edge_idx) AS id", "x + 0.10D AS x", "y + 0.05D AS y", "cast(z AS double) AS z")
-    wanted = c.where("array_contains(tags, 'c')").selectExpr("uuid_edge", "edge_idx", "x", "y", "cast(z AS double) AS z")
+    wanted = c.selectExpr("uuid_edge", "edge_idx", "x", "y", "cast(z AS double) AS z")
     return S.nearest(wanted, existing).select("uuid_edge", "edge_idx", "nearest_id", F.round("nearest_distance", 6).alias("nearest_distance"))
 
 
@@ -101,7 +102,7 @@ def direction(spark, sf_dir: str) -> DataFrame:
 def gold_pp(spark, sf_dir: str) -> DataFrame:
     """Points, mappings and candidates joined; radius and grade turned by the direction."""
     c = _candidates(spark, sf_dir).selectExpr("uuid_edge", "edge_idx", "position", "x", "zoom", "radius", "grade", "tags", "well_defined", "conv(substr(md5(concat(uuid_edge, edge_idx)), 1, 12), 16, 10) AS h")
-    c = c.withColumn("id_positionpoint", F.col("h").cast("long"))
+    c = cut(c.withColumn("id_positionpoint", F.col("h").cast("long")).drop("h"), "candidates")
     pps = c.where("edge_idx % 2 = 0").select("id_positionpoint", "zoom", "x")
     mapping = c.selectExpr("id_positionpoint", "zoom", "uuid_edge", "position", "edge_idx", "cast(CASE WHEN edge_idx % 3 = 0 THEN -1 ELSE 1 END AS smallint) AS direction")
     out = G.gold_points(pps, mapping, c.where("edge_idx % 10 <> 0"))
@@ -109,7 +110,7 @@ def gold_pp(spark, sf_dir: str) -> DataFrame:
 
 
 def raw_points(spark, sf_dir: str) -> DataFrame:
-    c = _candidates(spark, sf_dir, "type = 't'").selectExpr("uuid_edge", "edge_idx", "2600000D + x AS x", "1200000D + y AS y")
+    c = _candidates(spark, sf_dir).selectExpr("uuid_edge", "edge_idx", "2600000D + x AS x", "1200000D + y AS y")
     return G.raw_points(c, "EPSG:2056").select("token", F.round("lng", 8).alias("lng"), F.round("lat", 8).alias("lat"))
 
 
@@ -171,7 +172,7 @@ def load_sections(spark, sf_dir: str) -> DataFrame:
 
 
 def _osm_source(spark, sf_dir: str) -> DataFrame:
-    e = _table(spark, sf_dir, "events").where("event_id < 3000")
+    e = _table(spark, sf_dir, "events")
     kinds = "element_at(array('rail', 'tram', 'road', 'subway', 'narrow_gauge'), cast(event_id % 5 + 1 AS int))"
     pairs = f"map_from_entries(filter(array(struct('railway' AS key, {kinds} AS value), struct('ref' AS key, CASE WHEN event_id % 2 = 0 THEN cast(user_id AS string) END AS value), struct('usage' AS key, CASE WHEN event_id % 3 = 0 THEN 'main' WHEN event_id % 3 = 1 THEN 'branch' END AS value), struct('maxspeed' AS key, CASE WHEN event_id % 7 = 0 THEN 'signals' ELSE '80' END AS value), struct('operator' AS key, event_type AS value)), e -> e.value IS NOT NULL))"
     return e.selectExpr("event_id", f"{pairs} AS properties", "concat('{\"type\":\"LineString\",\"coordinates\":[[', event_id, ',1.5],[', event_id + 1, ',2.5,3]]}') AS geometry")
@@ -214,7 +215,7 @@ _TOPO = """t AS (SELECT md5(p_name) AS uuid_track, string_split(p_type, ' ')[1]
   p_size % 5 = 0 AS cog, p_size % 7 = 0 AS funicular, p_size % 6 = 0 AS museum, p_size % 8 = 0 AS service, p_size % 9 = 0 AS axis_dkm, CASE WHEN p_size <= 40 THEN p_size END AS n_tracks, p_size - 20 AS level, p_name AS name
   FROM part WHERE p_partkey % 11 = 0 OR p_partkey % 10 <> 0)"""
 _OSM = """o AS (SELECT event_id, ['rail', 'tram', 'road', 'subway', 'narrow_gauge'][event_id % 5 + 1] AS railway, CASE WHEN event_id % 2 = 0 THEN user_id::varchar END AS ref, event_id % 3 = 0 AS main,
-  CASE WHEN event_id % 7 <> 0 THEN 80 END AS maxspeed, event_type AS operator, md5('{"type":"LineString","coordinates":[[' || event_id || ',1.5],[' || (event_id + 1) || ',2.5,3]]}') AS h FROM events WHERE event_id < 3000)"""
+  CASE WHEN event_id % 7 <> 0 THEN 80 END AS maxspeed, event_type AS operator, md5('{"type":"LineString","coordinates":[[' || event_id || ',1.5],[' || (event_id + 1) || ',2.5,3]]}') AS h FROM events)"""
 _CELL = lambda x, y, dx="0", dy="0": f"((floor({x} / 4.0)::bigint + 33554432 + {dx}) * 67108864 + floor({y} / 4.0)::bigint + 33554432 + {dy})"
 _FAN = ", fan AS (SELECT * FROM (VALUES (15, 1), (18, 2), (21, 3)) AS v(level, most))"
 
@@ -240,7 +241,7 @@ ORACLES = {
       SELECT uuid_track, round(max(CASE WHEN i = 0 THEN lng END), 9) AS lng, round(sum(lat), 8) AS lats FROM (SELECT uuid_track, i, {_LV95} FROM v) GROUP BY uuid_track""",
     "tile_zxy": f"{_TRACKS} SELECT uuid_track, z, {_TILES} FROM (SELECT uuid_track, unnest([15, 18, 21]) AS z, 5.9::double + mx / 100000 AS lng, 45.8::double + my / 100000 AS lat FROM tracks)",
     "snap_nearest_existing": f"""{_POINTS}, ex AS (SELECT uuid_track || '#' || edge_idx AS id, x + 0.10 AS x, y + 0.05 AS y, z::double AS z FROM points WHERE edge_idx % 7 = 0),
-      c AS (SELECT points.* FROM points JOIN tracks USING (uuid_track) WHERE type = 'c'),
+      c AS (SELECT * FROM points),
       near AS (SELECT uuid_track, edge_idx, id, sqrt((c.x - ex.x)**2 + (c.y - ex.y)**2) AS d FROM c JOIN ex ON floor(c.x) BETWEEN floor(ex.x) - 1 AND floor(ex.x) + 1 AND floor(c.y) = floor(ex.y) AND abs(c.z::double - ex.z) <= 1
         UNION ALL SELECT uuid_track, edge_idx, id, sqrt((c.x - ex.x)**2 + (c.y - ex.y)**2) FROM c JOIN ex ON floor(c.x) BETWEEN floor(ex.x) - 1 AND floor(ex.x) + 1 AND floor(c.y) = floor(ex.y) - 1 AND abs(c.z::double - ex.z) <= 1
         UNION ALL SELECT uuid_track, edge_idx, id, sqrt((c.x - ex.x)**2 + (c.y - ex.y)**2) FROM c JOIN ex ON floor(c.x) BETWEEN floor(ex.x) - 1 AND floor(ex.x) + 1 AND floor(c.y) = floor(ex.y) + 1 AND abs(c.z::double - ex.z) <= 1),
@@ -251,7 +252,7 @@ ORACLES = {
     "gold_pp": f"""{_POINTS} SELECT uuid_track AS uuid_edge, edge_idx, round(position, 5) AS position, round(x, 6) AS x, CASE WHEN edge_idx % 10 <> 0 THEN radius * dir END AS radius,
       CASE WHEN edge_idx % 10 <> 0 THEN round((grade * dir)::double, 6) END AS grade, CASE WHEN edge_idx % 10 <> 0 THEN array_to_string(tags, ',') END AS tags
       FROM (SELECT points.*, tags, CASE WHEN edge_idx % 3 = 0 THEN -1 ELSE 1 END AS dir FROM points JOIN tracks USING (uuid_track) WHERE edge_idx % 2 = 0)""",
-    "raw_points": f"""{_POINTS}, q AS (SELECT uuid_track || '#' || edge_idx AS token, points.x / 1000000 AS y, points.y / 1000000 AS x FROM points JOIN tracks USING (uuid_track) WHERE type = 't')
+    "raw_points": f"""{_POINTS}, q AS (SELECT uuid_track || '#' || edge_idx AS token, points.x / 1000000 AS y, points.y / 1000000 AS x FROM points)
       SELECT token, round(lng, 8) AS lng, round(lat, 8) AS lat FROM (SELECT token, {_LV95} FROM q)""",
     "zoom_fanout": f"{_POINTS}{_FAN} SELECT level AS z, zoom, count(*) AS n FROM points JOIN fan ON zoom <= most GROUP BY level, zoom",
     "tile_feature_counts": f"{_POINTS}{_FAN} SELECT z, x, y, count(*) AS n, count(DISTINCT uuid_track) AS edges FROM (SELECT uuid_track, z, {_TILES} FROM (SELECT uuid_track, level AS z, 5.9::double + x / 100000 AS lng, 45.8::double + y / 100000 AS lat FROM points JOIN fan ON zoom <= most)) GROUP BY z, x, y",
