@@ -2,12 +2,13 @@
 
 1. Per text, in one row-wise pass without a shuffle: words, word characters, symbols, repeated lines
    and words inside repeated three-word windows.
-2. Quantile sketches per (lang, source): integer histograms over fixed bins of each ratio. Counts add
-   up, so sketches merge without error in any order: source sketches merge into language sketches and
-   those into one sketch of all rows. At most 1,001 bins a feature bound their size.
-3. A threshold is the upper quartile plus a multiple of its distance from the median, and a fixed
-   slack above it; a group with too few rows takes its language's sketch, then that of all rows.
-   Texts above a threshold of their group are rejected by a join with the (small) thresholds.
+2. Quantile sketches per (lang, source): integer histograms over fixed bins of each ratio (three significant
+   digits, so a quantile is at most 1% off). Counts add up, so sketches merge without error in any order:
+   source sketches merge into language sketches and those into one sketch of all rows.
+3. A limit follows from the quantiles of its sketch alone: the upper quartile plus `FENCE` times its distance from
+   the median, but for shares that most texts lack not less than a tail quantile (`TAIL`, per mille). The limit of
+   a group is drawn towards that of its language, and this towards that of all rows, as `NEIGHBOURS` rows would.
+   Texts above a limit of their group are rejected by a join with the (small) limits.
 
 Defined cases: null or empty texts have no words, so they fail the base rule; null lang or source is a
 group of its own; repeated rows are judged alike; an empty table gives an empty result; columns that
@@ -26,11 +27,18 @@ from .store import materialise
 
 SPACE = "\\x20\\x09-\\x0D"
 TRIM = " \t\n\x0b\f\r"
-#: Ratios in thousandths (the last one is the mean word length in hundredths), and the slack of each.
-FEATURES = {"symbols_pm": 30, "dup_lines_pm": 350, "repeats_pm": 350, "word_len_ch": 250}
-BINS = 1000
+#: Ratios: numerator, denominator, scale (thousandths; the mean word length in hundredths).
+FEATURES = {
+    "symbols_pm": ("n_symbols", "word_chars", 1000),
+    "dup_lines_pm": ("n_dup_lines", "n_lines", 1000),
+    "repeats_pm": ("n_repeat_words", "n_words", 1000),
+    "word_len_ch": ("word_chars", "n_words", 100),
+}
+#: Share of a group's rows (per mille) that no limit of these shares falls below.
+TAIL = {"symbols_pm": 950, "dup_lines_pm": 995, "repeats_pm": 995}
 FENCE = 4
-MIN_ROWS = 200
+#: Rows that the language counts as in the limit of a group.
+NEIGHBOURS = 100
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -70,21 +78,16 @@ def measures(docs: DataFrame, keep: list[str]) -> DataFrame:
     return out.withColumn("n_repeat_words", covered).drop("_p")
 
 
-def _ratio(n: str, of: str, times: int) -> Column:
-    return F.expr(f"cast(least(({times} * {n}) div greatest({of}, 1), {BINS}) AS int)")
+def _bin(n: str, of: str, times: int) -> Column:
+    """The ratio, cut to three significant digits."""
+    whole = f"(({times} * {n}) div greatest({of}, 1))"
+    unit = f"cast(pow(10, greatest(length(cast({whole} AS string)) - 3, 0)) AS bigint)"
+    return F.expr(f"{whole} div {unit} * {unit}")
 
 
 def ratios(m: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return m.withColumns(
-        {
-            "base_failed": failed,
-            "symbols_pm": _ratio("n_symbols", "word_chars", 1000),
-            "dup_lines_pm": _ratio("n_dup_lines", "n_lines", 1000),
-            "repeats_pm": _ratio("n_repeat_words", "n_words", 1000),
-            "word_len_ch": _ratio("word_chars", "n_words", 100),
-        }
-    )
+    return m.withColumns({"base_failed": failed} | {f: _bin(*ratio) for f, ratio in FEATURES.items()})
 
 
 def sketches(m: DataFrame) -> DataFrame:
@@ -95,25 +98,31 @@ def sketches(m: DataFrame) -> DataFrame:
     return stacked.groupBy("lang", "source", "x.feature", "x.bin").agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, by: list[str], rows: str) -> DataFrame:
+def _limits(sketch: DataFrame, by: list[str], rows: str, allowed: str) -> DataFrame:
+    """The limit of each feature in the merged sketches of `by`, and their number of rows."""
     w = Window.partitionBy(*by, "feature")
     running = sketch.groupBy(*by, "feature", "bin").agg(F.sum("n").alias("n")).select(
         *by, "feature", "bin", F.sum("n").over(w).alias(rows), F.sum("n").over(w.orderBy("bin")).alias("upto")
     )
-    at = lambda share: F.min(F.when(100 * F.col("upto") >= share * F.col(rows), F.col("bin")))
-    return running.groupBy(*by, "feature").agg(F.first(rows).alias(rows), at(50).alias("q50"), at(75).alias("q75"))
+    at = lambda share: F.min(F.when(1000 * F.col("upto") >= share * F.col(rows), F.col("bin")))
+    tail = reduce(lambda c, kv: c.when(F.col("feature") == kv[0], kv[1]), TAIL.items(), F).otherwise(0)
+    q = running.groupBy(*by, "feature").agg(F.first(rows).alias(rows), at(500).alias("q50"), at(750).alias("q75"), at(tail).alias("tail"))
+    return q.select(*by, "feature", rows, F.greatest(F.col("q75") + FENCE * (F.col("q75") - F.col("q50")), "tail").alias(allowed))
+
+
+def _drawn(rows: str, own: str, to: str) -> Column:
+    return F.expr(f"({rows} * {own} + {NEIGHBOURS} * {to}) div ({rows} + {NEIGHBOURS})")
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per (lang, source) with the highest value allowed of each feature."""
-    slack = reduce(lambda c, kv: c.when(F.col("feature") == kv[0], kv[1]), FEATURES.items(), F)
-    limit = lambda q: q.withColumn("allowed", F.col("q75") + FENCE * (F.col("q75") - F.col("q50")) + slack)
-    own = limit(_quartiles(sketch, ["lang", "source"], "rows"))
-    lang = limit(_quartiles(sketch, ["lang"], "rows_l")).select(F.col("lang").alias("lang_l"), F.col("feature").alias("f_l"), "rows_l", F.col("allowed").alias("allowed_l"))
-    every = limit(_quartiles(sketch, [], "rows_a")).select(F.col("feature").alias("f_a"), F.col("allowed").alias("allowed_a"))
-    chosen = F.when(F.col("rows") >= MIN_ROWS, F.col("allowed")).when(F.col("rows_l") >= MIN_ROWS, F.col("allowed_l")).otherwise(F.col("allowed_a"))
+    own = _limits(sketch, ["lang", "source"], "rows", "allowed")
+    lang = _limits(sketch, ["lang"], "rows_l", "allowed_l").withColumnsRenamed({"lang": "lang_l", "feature": "f_l"})
+    every = _limits(sketch, [], "rows_a", "allowed_a").withColumnRenamed("feature", "f_a")
     joined = own.join(lang, own["lang"].eqNullSafe(lang["lang_l"]) & (own["feature"] == lang["f_l"])).join(every, F.col("feature") == F.col("f_a"))
-    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("feature") == f, chosen)).alias(f"max_{f}") for f in FEATURES])
+    joined = joined.withColumn("near", _drawn("rows_l", "allowed_l", "allowed_a"))
+    joined = joined.withColumn("limit", _drawn("rows", "allowed", "near"))
+    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("feature") == f, F.col("limit"))).alias(f"max_{f}") for f in FEATURES])
 
 
 def verdicts(docs: DataFrame, key: list[str]) -> DataFrame:
@@ -145,16 +154,18 @@ def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    pm = {"symbols_pm": ("n_symbols", "word_chars", 1000), "dup_lines_pm": ("n_dup_lines", "n_lines", 1000), "repeats_pm": ("n_repeat_words", "n_words", 1000), "word_len_ch": ("word_chars", "n_words", 100)}
-    slack = "CASE feature " + " ".join(f"WHEN '{f}' THEN {s}" for f, s in FEATURES.items()) + " END"
+    tail = "CASE feature " + " ".join(f"WHEN '{f}' THEN {s}" for f, s in TAIL.items()) + " ELSE 0 END"
+    whole = {f: f"(({k} * {n}) // greatest({of}, 1))" for f, (n, of, k) in FEATURES.items()}
+    unit = {f: f"power(10, greatest(length({x}::varchar) - 3, 0))::bigint" for f, x in whole.items()}
 
-    def quartiles(by: str) -> str:
+    def limits(by: str) -> str:
         cols = f"{by}, feature" if by else "feature"
-        return f"""SELECT {cols}, any_value(total) AS total, min(bin) FILTER (WHERE 100 * upto >= 75 * total)
-              + {FENCE} * (min(bin) FILTER (WHERE 100 * upto >= 75 * total) - min(bin) FILTER (WHERE 100 * upto >= 50 * total)) + any_value({slack}) AS allowed
+        at = lambda share: f"min(bin) FILTER (WHERE 1000 * upto >= {share} * total)"
+        return f"""SELECT {cols}, any_value(total) AS total, greatest({at(750)} + {FENCE} * ({at(750)} - {at(500)}), {at(tail)}) AS allowed
             FROM (SELECT {cols}, bin, sum(n) OVER (PARTITION BY {cols}) AS total, sum(n) OVER (PARTITION BY {cols} ORDER BY bin) AS upto
                   FROM (SELECT {cols}, bin, count(*) AS n FROM stacked GROUP BY {cols}, bin)) GROUP BY {cols}"""
 
+    drawn = lambda n, own, to: f"({n} * {own} + {NEIGHBOURS} * {to}) // ({n} + {NEIGHBOURS})"
     fits = " AND ".join(f"{f} <= max(CASE WHEN t.feature = '{f}' THEN t.allowed END)" for f in FEATURES)
     return f"""
     WITH w AS (
@@ -171,10 +182,10 @@ def _oracle() -> str:
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
       FROM w LEFT JOIN cov USING (r)),
     f AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed,
-        {", ".join(f"least(({k} * {n}) // greatest({of}, 1), {BINS}) AS {name}" for name, (n, of, k) in pm.items())} FROM m),
+        {", ".join(f"{whole[f]} // {unit[f]} * {unit[f]} AS {f}" for f in FEATURES)} FROM m),
     stacked AS ({" UNION ALL ".join(f"SELECT lang, source, '{f}' AS feature, {f} AS bin FROM f WHERE NOT base_failed" for f in FEATURES)}),
-    own AS ({quartiles("lang, source")}), la AS ({quartiles("lang")}), al AS ({quartiles("")}),
-    t AS (SELECT own.lang, own.source, own.feature, CASE WHEN own.total >= {MIN_ROWS} THEN own.allowed WHEN la.total >= {MIN_ROWS} THEN la.allowed ELSE al.allowed END AS allowed
+    own AS ({limits("lang, source")}), la AS ({limits("lang")}), al AS ({limits("")}),
+    t AS (SELECT own.lang, own.source, own.feature, {drawn("own.total", "own.allowed", drawn("la.total", "la.allowed", "al.allowed").join("()"))} AS allowed
       FROM own JOIN la ON own.lang IS NOT DISTINCT FROM la.lang AND own.feature = la.feature JOIN al ON own.feature = al.feature)
     SELECT any_value(doc_id) AS doc_id, any_value(n_words) AS n_words, any_value(word_chars) AS word_chars, any_value(n_symbols) AS n_symbols,
       any_value(n_dup_lines) AS n_dup_lines, any_value(n_repeat_words) AS n_repeat_words, any_value(base_failed) AS base_failed,
