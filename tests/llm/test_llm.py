@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from trackweave.llm import decontaminate, html_text, licenses, mixing, near_dedup, quality_model, quality_rules, substring_dedup, token_counts, url_filter
+from trackweave.llm import decontaminate, html_text, licenses, mixing, near_dedup, quality_model, quality_rules, store, substring_dedup, token_counts, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 VOCABULARY = [f"{a}{b}" for a in "bcdfghklmnprst" for b in ("ar", "ent", "is", "o", "uma")]
@@ -55,6 +55,38 @@ def test_quality_thresholds_adapt(docs_of):
     assert all(kept[2000 + i] for i in range(300))  # where symbols are usual, they are no fault
 
 
+def test_quality_limits_of_sources_differ(docs_of):
+    """Two sources of a language that differ in one feature: each keeps its own kind, and the one without it rejects
+    the other's. Mean word lengths have no bound."""
+    rng = random.Random(22)
+
+    def text(kind, n=100):
+        words = prose(rng, n).split()
+        if kind == "symbols":
+            words = [w + "%" * (i % 2) for i, w in enumerate(words)]
+        elif kind == "lines":
+            return "\n".join([" ".join(words[i : i + 5]) for i in range(0, n, 5)] + [" ".join(words[:5])] * rng.randint(8, 12))
+        elif kind == "repeats":
+            words += words[: rng.randint(20, 24)]
+        elif kind == "long":
+            words = ["字" * rng.randint(20, 40) for _ in words]
+        return " ".join(words)
+
+    kinds, rows = {"symbols": "symbols_pm", "lines": "dup_lines_pm", "repeats": "repeats_pm", "long": "word_len_ch"}, []
+    for kind in kinds:
+        rows += [(len(rows), text("plain"), kind, "a") for _ in range(300)] + [(10_000 + len(rows), text(kind), kind, "b") for _ in range(300)] + [(20_000 + len(rows), text(kind), kind, "a")]
+    rows.append((30_000, " ".join("字" * 900 for _ in range(60)), "long", "b"))
+    d = docs_of(rows)
+    measured = store.materialise(quality_rules.ratios(quality_rules.measures(d, ["doc_id", "lang", "source"])), "test-measures")
+    limits = {(r["lang"], r["source"]): r for r in quality_rules.thresholds(quality_rules.sketches(measured)).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.verdicts(d, ["doc_id"]).collect()}
+    for kind, feature in kinds.items():
+        assert limits[kind, "b"][f"max_{feature}"] > limits[kind, "a"][f"max_{feature}"]
+        part = lambda low: [kept[i] for i, _, lang, _ in rows if lang == kind and low <= i < low + 10_000]  # noqa: E731, B023
+        assert sum(part(0)) >= 297 and sum(part(10_000)) >= 290 and not any(part(20_000))
+    assert not kept[30_000]
+
+
 def test_quality_keep_and_empty(docs_of):
     rng = random.Random(3)
     d = docs_of([(1, prose(rng, 100)), (1, prose(rng, 100)), (None, prose(rng, 90), None, None), (2, "short")], "1 AS kept")

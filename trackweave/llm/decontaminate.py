@@ -35,25 +35,16 @@ def words(text: str = "text") -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
-def _hashes(masks: list[str]) -> Column:
-    """All masked windows of the word hashes `_h`: those of the first mask by position, then the next's."""
-    each = []
-    for k, mask in enumerate(masks):
-        kept = ", ".join(f"get(_h, i + {j})" for j, c in enumerate(mask) if c == "1")
-        each.append(f"CASE WHEN size(_h) < {len(mask)} THEN cast(array() AS array<bigint>) ELSE transform(sequence(0, size(_h) - {len(mask)}), i -> xxhash64({k}, {kept})) END")
-    return F.expr(f"concat({', '.join(each)})" if len(each) > 1 else each[0])
-
-
 def _seeds(rows: DataFrame, keep: list[str], masks: list[str]) -> DataFrame:
-    """keep, seed and pos of each masked window; rows: keep and the words `_w`."""
+    """keep, seed and pos of each masked window; rows: keep and the words `_w`. Each word is put beside those that
+    follow it, so that all masks of its window are hashed by generated code after one explode."""
+    wide = max(map(len, masks))
     hashed = rows.withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
-    seeds = hashed.select(*keep, F.size("_h").alias("_n"), F.posexplode(_hashes(masks)).alias("_i", "seed"))
-    pos = F.col("_i")
-    shift = F.lit(0)
-    for mask in masks[:-1]:
-        shift = shift + F.greatest(F.col("_n") - (len(mask) - 1), F.lit(0))
-        pos = F.when(F.col("_i") >= shift, F.col("_i") - shift).otherwise(pos)
-    return seeds.select(*keep, "seed", pos.cast("int").alias("pos"))
+    shifted = [F.slice("_h", j + 1, F.greatest(F.size("_h"), F.lit(1))).alias(f"c{j}") for j in range(wide)]
+    beside = hashed.select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_z")).select(*keep, "pos", "_z.*")
+    whole = lambda k, m: F.xxhash64(F.lit(k), *[F.col(f"c{j}") for j, c in enumerate(m) if c == "1"])
+    found = [F.when(F.col(f"c{len(m) - 1}").isNotNull(), whole(k, m)) for k, m in enumerate(masks)]
+    return beside.select(*keep, F.explode(F.array(*found)).alias("seed"), "pos").where("seed IS NOT NULL")
 
 
 def _limited(df: DataFrame, most: int) -> DataFrame:
