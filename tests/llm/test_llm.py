@@ -318,15 +318,15 @@ def template_rows(rng, n, words=120):
     return rows
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_large_group_with_chains(docs_of, monkeypatch, small):
+@pytest.mark.parametrize(("small", "n"), [(False, 300), (True, 1200)])
+def test_large_group_with_chains(docs_of, monkeypatch, small, n):
     """Over a thousand documents of one template: every link counts, in one block and over many."""
     if small:
         monkeypatch.setattr(near_dedup, "BLOCK", 60_000)
-    rows = template_rows(random.Random(15), 1200)
+    rows = template_rows(random.Random(15), n)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_dedup(docs_of(rows)).collect()}
     want = brute_components(rows)
-    assert len({c for _, c in want.values()}) > 100
+    assert len({c for _, c in want.values()}) > n // 12
     assert got == want
 
 
@@ -376,6 +376,30 @@ def test_licenses(docs_of):
     assert licenses.scan(docs_of(rows).limit(0)).count() == 0
 
 
+def test_license_variants(docs_of):
+    """Every known text with other copyright lines, spelling, case, punctuation and line breaks is still found, and not
+    with a word more; repeated rows, ties and long texts."""
+    rng = random.Random(24)
+    heads = ["Copyright 2020 Me", "Copyright Joe Bloggs 2019", "Copyright Joyent, Inc.", "Copyright (c) 1999-2003 The People", "© 2021 Us", "All rights reserved."]
+    rows, want = [], {}
+    known = licenses.known_texts()
+    for name, text in known:
+        changed = "\n\n".join(rng.sample(heads, 2)) + "\n\n" + re.sub(r"\b(sub)?license([sd]?)\b", r"\1licence\2", text).replace(",", " ,").replace("\n\n", " \r\n\n\t")
+        for variant, found in ((text, True), (changed, True), (text + "\none word more", False), (changed, True)):
+            want[len(rows)] = found
+            rows.append((len(rows), variant))
+    rows.append((len(rows), prose(rng, 100_000)))
+    got = licenses.scan(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    digests = dict(licenses.registry(docs_of([]).sparkSession))
+    for r in got:
+        i = r["doc_id"]
+        assert (r["license"] is not None) == want.get(i, False), (known[i // 4][0], i % 4)
+        assert r["license"] == digests.get(r["digest"])
+    tie = docs_of([(1, "one text"), (1, "One, text!"), (None, "one text")])
+    assert [r["license"] for r in licenses.scan(tie, [("B", "One text."), ("A", "one TEXT")]).collect()] == ["A"] * 3
+
+
 # 8 tokens
 
 

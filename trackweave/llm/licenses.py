@@ -2,8 +2,11 @@
 
 A text's canonical form has no copyright lines; the rest is lower-cased, each run of other characters
 than letters and digits is one space, and equivalent spellings are written one way. Its SHA-256 is
-looked up among the digests of known licences by a hash join of entire texts. The same lookup of each
-line finds the notices that stand inside other texts.
+looked up among the digests of known licences by a hash join of entire texts (`license`). The same lookup of
+each line finds the notices that stand inside other texts (`notices`).
+
+Known are the texts in `license_texts` (one file each, named by licence), each with and without what follows
+its "END OF TERMS AND CONDITIONS", and the short texts and notices in `KNOWN`.
 
 Defined cases: null and empty texts (and those of copyright lines only) have no digest and no licence;
 repeated rows are looked up alike; two known texts with one canonical form count as the first by name;
@@ -12,6 +15,8 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +26,22 @@ SPELLINGS = (
     ("licences", "licenses"),
     ("licenced", "licensed"),
     ("licencing", "licensing"),
+    ("licencee", "licensee"),
+    ("licencees", "licensees"),
+    ("licencor", "licensor"),
+    ("licencors", "licensors"),
+    ("relicence", "relicense"),
+    ("relicencing", "relicensing"),
+    ("sublicences", "sublicenses"),
+    ("sublicenced", "sublicensed"),
+    ("sublicencing", "sublicensing"),
+    ("sublicencees", "sublicensees"),
     ("organisation", "organization"),
     ("organisations", "organizations"),
     ("authorised", "authorized"),
     ("authorisation", "authorization"),
     ("behaviour", "behavior"),
     ("favour", "favor"),
-    ("merchantability", "merchantability"),
     ("non commercial", "noncommercial"),
     ("sub license", "sublicense"),
     ("sublicence", "sublicense"),
@@ -83,7 +97,26 @@ KNOWN = (
     ("MIT", "Licensed under the MIT License."),
     ("Zlib", _ZLIB),
 )
-COPYRIGHT = r"^[^\p{L}\p{N}]*((c|C)\)[^\p{L}\p{N}]*)?(©|\(c\)|\(C\)|[Cc]opyright|COPYRIGHT)([^\p{L}\p{N}]+((c|C)\)|©|[0-9<])|$).*"
+END = "END OF TERMS AND CONDITIONS"
+#: A copyright line: the word or sign, then a sign, a year or a blank to fill in; or a name with a year, or a name of
+#: a few words alone; or the reservation of all rights.
+COPYRIGHT = (
+    r"^[^\p{L}\p{N}]*((c|C)\)[^\p{L}\p{N}]*)?(©|\(c\)|\(C\)|[Cc]opyright|COPYRIGHT)([^\p{L}\p{N}]+((c|C)\)|©|[0-9<])|$).*"
+    r"|^[^\p{L}\p{N}]*[Cc]opyright +\p{Lu}[^;:]*[0-9][0-9][0-9][0-9][^\p{L}\p{N}]*$"
+    r"|^[^\p{L}\p{N}]*[Cc]opyright +\p{Lu}[\p{L}.,&-]*( +[\p{L}.,&-]+)?( +[\p{L}.,&-]+)?( +[\p{L}.,&-]+)?( +[\p{L}.,&-]+)?( +[\p{L}.,&-]+)? *$"
+    r"|^[^\p{L}\p{N}]*([Aa]ll [Rr]ights [Rr]eserved|ALL RIGHTS RESERVED)[^\p{L}\p{N}]*$"
+)
+
+
+def known_texts(folder: Path = Path(__file__).parent / "license_texts") -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the registry."""
+    out = list(KNOWN)
+    for path in sorted(folder.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        out.append((path.stem, text))
+        if END in text:
+            out.append((path.stem, text[: text.index(END) + len(END)]))
+    return tuple(out)
 
 
 def _canonical(line: Column) -> Column:
@@ -101,19 +134,19 @@ def canonical_lines(text: str = "text") -> Column:
     return F.filter(F.transform(lines, _canonical), lambda x: x != "")
 
 
-def registry(spark, known=KNOWN) -> DataFrame:
-    """(license, digest) of the known texts; one row per digest. `known` is a fixed list."""
-    rows = spark.createDataFrame(list(known), "license string, text string")
+def registry(spark, known=None) -> list[tuple[str, str]]:
+    """(digest, license) of the known texts, as many as the registry has; one for each digest."""
+    rows = spark.createDataFrame(list(known or known_texts()), "license string, text string")
     digests = rows.select("license", F.array_join(canonical_lines(), " ").alias("c")).where("c <> ''")
-    return digests.groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
+    found = digests.groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
+    return sorted((r["digest"], r["license"]) for r in found.collect())
 
 
-def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
+def scan(docs: DataFrame, known=None) -> DataFrame:
     """doc_id, digest, license (of the entire text) and notices (licences named by single lines)."""
-    spark = docs.sparkSession
-    found = registry(spark, known)
-    pairs = {r["digest"]: r["license"] for r in found.collect()}  # as many as `known` has
-    lookup = F.create_map(*[F.lit(x) for kv in sorted(pairs.items()) for x in kv])
+    pairs = dict(registry(docs.sparkSession, known))
+    found = docs.sparkSession.createDataFrame(list(pairs.items()), "digest string, license string")
+    lookup = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
     out = docs.select("doc_id", canonical_lines().alias("_lines"))
     out = out.select("doc_id", "_lines", F.array_join("_lines", " ").alias("_c"))
     digests = F.transform("_lines", lambda x: F.sha2(x, 256))
@@ -135,7 +168,7 @@ def _oracle() -> str:
         return f"trim({plain})"
 
     lines = lambda t: f"list_filter(list_transform(list_filter(string_split(coalesce({t}, ''), chr(10)), lambda l: NOT regexp_matches(l, '{COPYRIGHT}')), lambda l: {canon('l')}), lambda l: l <> '')"
-    known = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in KNOWN)
+    known = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in known_texts())
     return f"""
     WITH k AS (SELECT digest, min(license) AS license FROM (SELECT license, sha256(array_to_string({lines("t")}, ' ')) AS digest FROM (VALUES {known}) AS v(license, t)) GROUP BY digest),
     d AS (SELECT row_number() OVER () AS r, doc_id, {lines("text")} AS lines FROM documents),
