@@ -134,6 +134,46 @@ def test_snap_sees_across_cells(spark):
     assert S.snap(candidates_of(spark, rows)).where("is_new_pp").count() == 1
 
 
+def brute_snap(rows, known, radius, height, size):
+    """Every candidate against all points of earlier rounds and of earlier edges of its cell, one after the other."""
+    cell = lambda x, y: (math.floor(x / size), math.floor(y / size))
+    colour = lambda c: c[0] % 2 * 2 + c[1] % 2
+    points, out = list(known), {}
+    for key in sorted({(r[2], colour(cell(r[3], r[4]))) for r in rows}):
+        created = []
+        for c in {cell(r[3], r[4]) for r in rows if (r[2], colour(cell(r[3], r[4]))) == key}:
+            here = sorted(r for r in rows if r[2] == key[0] and cell(r[3], r[4]) == c)
+            own = []
+            for edge in sorted({r[0] for r in here}):
+                fresh = []
+                for name, i, _, x, y, z, _ in (r for r in here if r[0] == edge):
+                    near = [(math.hypot(p[0] - x, p[1] - y), p) for p in points + own]
+                    near = [(d, p) for d, p in near if d < radius and (math.isnan(z) or math.isnan(p[2]) or abs(p[2] - z) <= height)]
+                    out[name, i] = min(near)[1] if near else (x, y, z)
+                    if not near:
+                        fresh.append((x, y, z))
+                own += fresh
+            created += own
+        points += created
+    return out, len(points) - len(known)
+
+
+def test_snap_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for e in range(40):
+        x, y, a, z = *rng.uniform(0, 12, 2), rng.uniform(0, 6.28), rng.choice([0.0, 0.5, 5.0])
+        rows += [(f"e{e:02}", i, int(1 + e % 3), float(x + 0.25 * i * math.cos(a)), float(y + 0.25 * i * math.sin(a)), float(z), 0.0) for i in range(20)]
+    known = [(float(x), float(y), 0.25) for x, y in rng.uniform(0, 12, (60, 2))]
+    existing = spark.createDataFrame([((k + 1) << 12, 3, k + 1, *p, 0.0) for k, p in enumerate(known)], S.PP)
+    got = S.snap(candidates_of(spark, rows), existing).collect()
+    want, created = brute_snap(rows, known, S.RADIUS, S.HEIGHT_TOLERANCE, 4.0)
+    assert len(got) == len(rows) and 100 < sum(r["is_new_pp"] for r in got) == created < len(rows) - 50
+    for r in got:
+        assert (r["snapped"]["x"], r["snapped"]["y"], r["snapped"]["z"]) == pytest.approx(want[r["uuid_edge"], r["edge_idx"]])
+    assert len({r["snapped"]["id_positionpoint"] for r in got if r["is_new_pp"]}) == created
+
+
 def test_snap_does_not_depend_on_partitions(spark):
     t = fixtures.tracks(spark, SF).where("k < 12").withColumnRenamed("uuid_track", "uuid_edge")
     c = P.edge_points(t, ["uuid_edge"]).withColumn("prio", F.lit(2))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import gzip
 import math
 import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EXTENT = 4096
 EARTH = 6378137.0
@@ -95,19 +97,44 @@ def tiles(points: DataFrame, layer: str = "pps", ignore: tuple[str, ...] = (), c
     fixed = {"z_level", "tile_x", "tile_y", "lng", "lat", "id", "layer"}
     attributes = [c for c in points.columns if c not in fixed and c not in ignore]
     has_id, has_layer = "id" in points.columns, "layer" in points.columns
-    order = [c for c in ("id", *attributes) if c in points.columns]
-
-    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        z, x, y = map(int, key)
-        if order:
-            pdf = pdf.sort_values(order, kind="stable")
-        columns = {c: pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in attributes}
-        rows = (
-            (pdf["layer"].iat[i] if has_layer else layer, int(pdf["id"].iat[i]) & (1 << 64) - 1 if has_id else None, [place(pdf["lng"].iat[i], pdf["lat"].iat[i], z, x, y)], {c: columns[c][i] for c in attributes})
-            for i in range(len(pdf))
-        )
-        data = encode(rows)
-        return pd.DataFrame({"z": [z], "x": [x], "y": [y], "data": [gzip.compress(data, mtime=0) if compress else data], "n": [len(pdf)]})
-
-    kept = points.select(*[c for c in points.columns if c in fixed or c in attributes])
-    return kept.where(F.col("tile_x").isNotNull()).groupBy("z_level", "tile_x", "tile_y").applyInPandas(build, "z int, x long, y long, data binary, n long")
+    kinds = {f.name: f.dataType for f in points.schema}
+    key = ("z_level", "tile_x", "tile_y")
+    order = [c for c in ("id", *attributes) if c in points.columns and not isinstance(kinds[c], T.MapType)]
+
+    def build(rows: pa.Table) -> pa.RecordBatch:
+        z, x, y, lng, lat = (rows.column(c).to_numpy() for c in (*key, "lng", "lat"))
+        n = np.exp2(z.astype(np.float64))
+        px = np.rint(((lng + 180) / 360 * n - x) * EXTENT).astype(np.int64).tolist()
+        py = np.rint(((1 - np.arcsinh(np.tan(np.radians(lat))) / np.pi) / 2 * n - y) * EXTENT).astype(np.int64).tolist()
+        ids = [i & (1 << 64) - 1 for i in rows.column("id").to_pylist()] if has_id else [None] * len(px)
+        layers = rows.column("layer").to_pylist() if has_layer else [layer] * len(px)
+        columns = [[None if v != v else v for v in rows.column(c).to_pylist()] for c in attributes]
+        cuts = np.flatnonzero(np.concatenate([[True], (np.diff(z) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0), [True]])).tolist()
+        data = []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            tile = encode((layers[i], ids[i], [(px[i], py[i])], {c: v[i] for c, v in zip(attributes, columns, strict=True)}) for i in range(lo, hi))
+            data.append(gzip.compress(tile, mtime=0) if compress else tile)
+        at = cuts[:-1]
+        arrays = [pa.array(z[at].astype(np.int32)), pa.array(x[at].astype(np.int64)), pa.array(y[at].astype(np.int64)), pa.array(data, pa.binary()), pa.array(np.diff(cuts))]
+        return pa.RecordBatch.from_arrays(arrays, ["z", "x", "y", "data", "n"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            last = np.ones(held.num_rows, dtype=bool)
+            for c in key:
+                v = held.column(c).to_numpy()
+                last &= v == v[-1]
+            at = held.num_rows - int(last.sum())  # the last tile may go on in the next batch
+            if at:
+                yield build(held.slice(0, at))
+                held = held.slice(at)
+        if held is not None:
+            yield build(held)
+
+    kept = points.select(*[c for c in points.columns if c in fixed or c in attributes]).where(F.col("tile_x").isNotNull())
+    return kept.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(scan, "z int, x long, y long, data binary, n long")
