@@ -453,6 +453,35 @@ def test_classifier(spark, docs_of):
     assert quality_model.classify(d.limit(0), lab).count() == 0
 
 
+def test_word_sums_cover_all_documents(docs_of):
+    """Every token of every row, labelled or not, and the index vectors of its neighbours."""
+    import pyarrow as pa
+
+    rng = random.Random(29)
+    rows = [(i, prose(rng, rng.randint(1, 40))) for i in range(120)] + edges(rng)
+    sums, seen = quality_model.word_sums(docs_of(rows).repartition(9))
+    index = quality_model.index_vectors()
+    want, count = index * 0, seen * 0
+    for r in rows:
+        b = quality_model.tokens(pa.array([r[1]], pa.string()))[0].tolist()
+        for i, x in enumerate(b):
+            count[x] += 1
+            for j in range(max(0, i - quality_model.WINDOW), min(len(b), i + quality_model.WINDOW + 1)):
+                if j != i:
+                    want[x] += index[b[j]]
+    assert (seen == count).all() and (sums == want).all() and seen.sum() > 1000
+
+
+def test_classifier_repeated_ids(spark, docs_of):
+    """Of several texts of one doc_id the smallest is learned from, in any order of the rows."""
+    rng = random.Random(31)
+    rows = [(i % 60, prose(rng, 30) + (" %%% $$$" * 9 if i % 2 else "")) for i in range(180)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    one, other = (quality_model.classify(docs_of(x), lab).collect() for x in (rows, rows[::-1]))
+    flat = lambda got: sorted((r["doc_id"], round(r["score"], 9), r["predicted"]) for r in got)  # noqa: E731  last digits may follow the batch
+    assert flat(one) == flat(other)
+
+
 # 6 html
 
 

@@ -2,19 +2,20 @@
 
 1. Word vectors: every token (a run of letters and digits, or of other marks) falls into one of
    `BUCKETS` buckets, each with a fixed sparse ternary index vector. A bucket's word vector is the sum
-   of the index vectors of its neighbours in the training texts; tasks add these up as integers, so the
-   sum is the same in any order.
+   of the index vectors of its neighbours in all documents, without any label; these are integers, so
+   the sum is the same in any order.
 2. A document is the mean and the mean square of its word vectors, weighted down for frequent words, the
    share of its tokens with the word vector of a token shortly before, and its length.
 3. A network with one hidden layer is trained with Adam on a bounded sample of labelled rows
    (`max_rows`, the rows with the smallest hashes of doc_id; none of the held-out fold). A temperature
    fitted on a part kept from training calibrates its probabilities.
 
-Only the text is an input of a score. Texts of the sample stay on the executors; the driver receives
-integer sums of fixed size and one pooled vector for each sampled row.
+Only the text is an input of a score. Texts stay on the executors; the driver receives the sums of all
+buckets, which are of fixed size, and one pooled vector for each sampled row.
 
 Defined cases: null and empty texts get the score of a text without tokens; repeated rows are scored
-alike; several labels of one doc_id count as the smallest; null labels are ignored; a null doc_id is not
+alike; several labels of one doc_id count as the smallest, and of several texts the smallest is
+learned from; null labels are ignored; a null doc_id is not
 held out and has no label; without labels of both classes every score is the share of label 1 (0.5
 without any); an empty table gives an empty result; other columns are ignored.
 """
@@ -41,6 +42,7 @@ MAX_ROWS = 6000
 FOLDS = 5
 THRESHOLD = 0.3
 SLICE = 1 << 20
+_SUMS = [f"s{d}" for d in range(DIMENSIONS)]
 _KIND = np.full(256, 2, dtype=np.uint8)  # 0: white space, 1: letters and digits, 2: other marks
 _KIND[[32, *range(9, 14)]] = 0
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -72,8 +74,11 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each task: sums of neighbours' index vectors, and counts, of all buckets."""
-    index, sums, seen = index_vectors(), np.zeros((BUCKETS, DIMENSIONS), dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+    """One row for each bucket that a task has seen: how often, and the sum of its neighbours' index vectors."""
+    index = index_vectors()
+    place = np.nonzero(index)[1].reshape(BUCKETS, NONZERO)
+    sign = np.take_along_axis(index, place, axis=1).astype(np.float64)
+    sums, seen = np.zeros(BUCKETS * DIMENSIONS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
     for batch in batches:
         for piece in slices(batch, "text", SLICE):
             b, per = tokens(piece.column("text"))
@@ -81,11 +86,26 @@ def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen += np.bincount(b, minlength=BUCKETS)
             for k in range(1, WINDOW + 1):
                 near = doc[k:] == doc[:-k]
-                x, y = b[:-k][near], b[k:][near]
-                for d in range(DIMENSIONS):
-                    sums[:, d] += np.bincount(x, weights=index[y, d], minlength=BUCKETS).astype(np.int64)
-                    sums[:, d] += np.bincount(y, weights=index[x, d], minlength=BUCKETS).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())], ["sums", "seen"])
+                for x, y in ((b[:-k][near], b[k:][near]), (b[k:][near], b[:-k][near])):
+                    cells = (x[:, None] * DIMENSIONS + place[y]).ravel()
+                    sums += np.bincount(cells, weights=sign[y].ravel(), minlength=len(sums)).astype(np.int64)
+    found = np.flatnonzero(seen)
+    parts = sums.reshape(BUCKETS, DIMENSIONS)[found]
+    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(seen[found]), *[pa.array(parts[:, d]) for d in range(DIMENSIONS)]], ["bucket", "seen", *_SUMS])
+
+
+def word_sums(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of neighbours' index vectors, and counts, of all buckets over the texts of all rows. A task takes up to
+    eight parts of the scan, though four tasks run for each core at least, so that what they add up stays small."""
+    tasks = max(4 * docs.sparkSession.sparkContext.defaultParallelism, docs.rdd.getNumPartitions() // 8)
+    kinds = "bucket int, seen long, " + ", ".join(f"{c} long" for c in _SUMS)
+    each = docs.select(F.col("text").cast("string").alias("text")).coalesce(tasks).mapInArrow(_context, kinds)
+    total = each.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("seen", *_SUMS)]).toArrow()  # BUCKETS rows at most
+    sums, seen = np.zeros((BUCKETS, DIMENSIONS), dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+    at = total["bucket"].to_numpy()
+    seen[at] = total["seen"].to_numpy()
+    sums[at] = np.column_stack([total[c].to_numpy() for c in _SUMS])
+    return sums, seen
 
 
 def word_table(sums: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -157,17 +177,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, Network]:
-    """Word vectors and network from `max_rows` labelled rows at most."""
+    """Word vectors from all documents, and the network from `max_rows` labelled rows at most."""
+    table = word_table(*word_sums(docs))
     marked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = materialise(smallest(marked, F.xxhash64(F.lit(5), "doc_id"), max_rows), "quality-rows")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_rows ids at most
-    rows = materialise(rows.dropDuplicates(["doc_id"]), "quality-sample")
-    tasks = max(2, min(8, rows.rdd.getNumPartitions()))
-    sums, seen = np.zeros((BUCKETS, DIMENSIONS), dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
-    for r in rows.select("text").coalesce(tasks).mapInArrow(_context, "sums binary, seen binary").toLocalIterator():  # one row a task
-        sums += np.frombuffer(r["sums"], dtype=np.int64).reshape(BUCKETS, DIMENSIONS)
-        seen += np.frombuffer(r["seen"], dtype=np.int64)
-    table = word_table(sums, seen)
+    rows = materialise(rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "quality-sample")
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
