@@ -363,6 +363,56 @@ def test_decontamination(spark, docs_of):
     assert decontaminate.overlaps(docs_of(rows), bench.limit(0)).count() == 0
 
 
+def brute_overlaps(rows, items):
+    """Every item held against every place of every text."""
+    plain = lambda t: re.sub(r"[^a-z0-9]+", " ", (t or "").lower()).split()
+    out = set()
+    for d, t in rows:
+        w = plain(t)
+        for i, u in items:
+            v = plain(u)
+            for at in range(1 - len(v), len(w)):
+                ok = [0 <= at + j < len(w) and w[at + j] == v[j] for j in range(len(v))]
+                run = any(sum(ok[j : j + 13]) >= 12 for j in range(len(v) - 12))
+                if v and (run or (sum(ok) >= len(v) - (len(v) >= 8) if len(v) < 11 else 100 * sum(ok) >= 90 * len(v))):
+                    out.add((d, i))
+    return out
+
+
+def test_parts_and_short_items(spark, docs_of):
+    """Runs of 13 words with one changed, at any place of the run, and items of 4 to 10 words with one changed."""
+    rng = random.Random(37)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    items = [(i, " ".join(fresh(55))) for i in range(3)] + [(n, " ".join(fresh(n))) for n in range(4, 11)]
+    rows = []
+
+    def plant(words, changed=()):
+        words = [("other" if j in changed else x) for j, x in enumerate(words)]
+        rows.append((len(rows), " ".join([*fresh(rng.randrange(30)), *words, *fresh(rng.randrange(30))])))
+
+    first = items[0][1].split()
+    for j in range(13):
+        plant(first[20:33], (j,))
+    plant(first[5:35])
+    plant(first[:11])  # shorter than a run
+    plant(first[20:33], (3, 9))
+    plant(items[1][1].split()[42:], (0,))
+    for _, u in items[3:]:
+        for j in (None, *range(len(u.split()))):
+            plant(u.split(), (j,))
+    for _, u in items[6:]:
+        plant(u.split(), (1, 4))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs_of(rows), bench).collect()}
+    assert got == brute_overlaps(rows, items) and {(j, 0) for j in range(14)} <= got and not {(14, 0), (15, 0)} & got
+    import duckdb
+
+    con = duckdb.connect()
+    documents, benchmark = docs_of(rows).toArrow(), bench.toArrow()
+    con.register("documents", documents), con.register("benchmark", benchmark)
+    assert {(r[0], r[1]) for r in con.sql(decontaminate.ORACLE).fetchall()} == got
+
+
 # 1 licences
 
 
