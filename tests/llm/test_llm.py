@@ -359,6 +359,10 @@ def test_decontamination(spark, docs_of):
     assert len(got) == 6 and all(r["contaminated"] for r in got)
     left = decontaminate.keep(docs_of(rows), bench)
     assert {r["doc_id"] for r in left.collect()} == {2, 6, 900, 901, 902, 903, 904, 905, 906, None}
+    again = docs_of([*rows, (1, "a clean text of a known id"), (None, rows[0][1])])
+    assert sorted(r["text"] or "" for r in decontaminate.keep(again, bench).where("doc_id = 1 OR doc_id IS NULL").collect()) == sorted(
+        ["a clean text of a known id", *[r[1] or "" for r in rows if r[0] is None]]
+    )
     assert decontaminate.overlaps(docs_of(rows).limit(0), bench).count() == 0
     assert decontaminate.overlaps(docs_of(rows), bench.limit(0)).count() == 0
 

@@ -63,9 +63,8 @@ def _limited(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
-    """doc_id, item_id, matched_words, item_words, first_word, last_word and contaminated (always true):
-    one row for each document and the items it holds. Of several texts with one doc_id any counts."""
+def _found(docs: DataFrame, benchmark: DataFrame, min_percent: int) -> DataFrame:
+    """The items of each doc_id and text (`_text`, its hash), with their matched words."""
     items = materialise(benchmark.select("item_id", words().alias("_w")).where("size(_w) > 0").distinct(), "bench-items")
     short = sorted(r[0] for r in items.where(F.size("_w") < SPAN).select(F.size("_w")).distinct().collect())  # SPAN - 1 values at most
     own_masks = [m for n in short for m in short_masks(n)]
@@ -96,7 +95,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_percent: int = MIN_PERCE
         F.max("_run").alias("_run"),
     )
     least = F.when(F.col("item_words") < SPAN, F.lit(max(SHORT_PERCENT, min_percent))).otherwise(F.lit(min_percent))
-    per = per.where(F.col("_run") | (100 * F.col("matched_words") >= least * F.col("item_words")))
+    return per.where(F.col("_run") | (100 * F.col("matched_words") >= least * F.col("item_words")))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
+    """doc_id, item_id, matched_words, item_words, first_word, last_word and contaminated (always true):
+    one row for each document and the items it holds. Of several texts with one doc_id any counts."""
+    per = _found(docs, benchmark, min_percent)
     best = F.max(F.struct("matched_words", "item_words", -F.col("first_word"), "last_word")).alias("b")
     return per.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", F.col("b.matched_words").cast("long").alias("matched_words"), F.col("b.item_words").cast("long").alias("item_words"),
@@ -105,9 +110,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_percent: int = MIN_PERCE
 
 
 def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that hold no item of `benchmark`, unchanged."""
-    gone = materialise(overlaps(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct(), "bench-gone")
-    return docs.join(_limited(gone, BROADCAST_HITS), docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of `docs` that hold no item of `benchmark`, unchanged; of several texts of one doc_id only those that hold one go."""
+    gone = _found(docs, benchmark, MIN_PERCENT).select(F.col("doc_id").alias("_gone"), F.col("_text").alias("_gone_text")).distinct()
+    gone = _limited(materialise(gone, "bench-gone"), BROADCAST_HITS)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")) & (F.xxhash64(docs["text"]) == F.col("_gone_text")), "left_anti")
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:
