@@ -1,6 +1,7 @@
 """Edges, nodes, points, snapping, lines and published tables, by hand-made fixtures."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -174,6 +175,34 @@ def test_snap_against_brute_force(spark):
     assert len({r["snapped"]["id_positionpoint"] for r in got if r["is_new_pp"]}) == created
 
 
+def test_snap_blocks_against_brute_force(spark, monkeypatch):
+    """Small blocks, so that edges and chains of snapped points cross their borders; three priorities make two passes."""
+    monkeypatch.setattr(S, "SIDES", (8,))
+    rng = np.random.default_rng(5)
+    rows = []
+    for e in range(60):
+        x, y, a, z = *rng.uniform((-70, -4), (70, 4)), rng.uniform(0, 6.28), rng.choice([0.0, 0.5, float("nan")])
+        rows += [(f"e{e:02}", i, int(1 + e % 3), float(x + 0.25 * i * math.cos(a)), float(y + 0.25 * i * math.sin(a)), float(z), 0.0) for i in range(20)]
+        x0 = -70 + 140 * e / 60  # beside each other along the x axis, across all blocks
+        rows += [(f"f{e:02}", i, int(1 + e % 2), float(x0 + 0.2 * i), 0.1 * (e % 3), 0.0, 0.0) for i in range(20)]
+    known = [(float(x), float(y), 0.25) for x, y in rng.uniform((-70, -2), (70, 2), (60, 2))]
+    existing = spark.createDataFrame([((k + 1) << 12, 3, k + 1, *p, 0.0) for k, p in enumerate(known)], S.PP)
+    got = S.snap(candidates_of(spark, rows), existing).collect()
+    want, created = brute_snap(rows, known, S.RADIUS, S.HEIGHT_TOLERANCE, 4.0)
+    assert len(got) == len(rows) and 100 < sum(r["is_new_pp"] for r in got) == created < len(rows) - 50
+    for r in got:
+        assert (r["snapped"]["x"], r["snapped"]["y"]) == pytest.approx(want[r["uuid_edge"], r["edge_idx"]][:2])
+    assert len({r["snapped"]["id_positionpoint"] for r in got if r["is_new_pp"]}) == created
+
+
+def test_snap_many_cells_in_time(spark):
+    """60,000 cells: no work per cell in Python."""
+    c = spark.range(60_000).selectExpr("concat('e', id) AS uuid_edge", "1 AS edge_idx", "0D AS position", "2 AS prio", "3 AS zoom", "4D * (id % 300) + 1 AS x", "4D * (id div 300) + 1 AS y", "0D AS z", "0D AS azimuth")
+    began = time.time()
+    assert S.snap(c).where("is_new_pp").agg(F.count_distinct("snapped.id_positionpoint")).first()[0] == 60_000
+    assert time.time() - began < 30
+
+
 def test_snap_does_not_depend_on_partitions(spark):
     t = fixtures.tracks(spark, SF).where("k < 12").withColumnRenamed("uuid_track", "uuid_edge")
     c = P.edge_points(t, ["uuid_edge"]).withColumn("prio", F.lit(2))

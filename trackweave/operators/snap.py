@@ -4,8 +4,13 @@
 neighbouring cells (an equi-join on cells, then the exact distance). `snap` is the incremental form: it
 goes through the priorities and, within each, through the four colours of the grid, so that cells that
 touch are never worked on together and see each other's new points. Within a cell the edges are taken in
-order of uuid_edge; the points that an edge creates are visible to the next one, not to itself. Each
-round's results are written out, so the lineage stays short and a lost executor costs one round at most.
+order of uuid_edge; the points that an edge creates are visible to the next one, not to itself.
+
+What happens in a cell depends on its neighbours in earlier rounds only, so a block of cells needs no more
+than a margin of one cell for each round before the last. Blocks with their margins are worked on
+independently, with one shuffle for all rounds of up to `PRIORITIES` priorities; results in the margin are
+dropped. In a block, every round takes the first edges of all its cells together, then the second ones, and
+so on, by array operations.
 """
 
 from __future__ import annotations
@@ -13,7 +18,8 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +29,11 @@ from ..plans.store import cut
 
 RADIUS = 0.25
 HEIGHT_TOLERANCE = 1.0
+#: Priorities of one pass (four rounds each, which set the margin of a block).
+PRIORITIES = 2
+#: Cells along a block's side: the first with no more than BLOCK_ROWS candidates in any block, or the last.
+SIDES = (128, 64, 32, 16, 8)
+BLOCK_ROWS = 200_000
 PP = "id_positionpoint long, zoom int, cell long, x double, y double, z double, azimuth double"
 _RESULT = f"uuid_edge string, edge_idx int, position double, prio int, zoom int, x double, y double, z double, azimuth double, snapped struct<{PP.replace(' ', ':').replace(',:', ',')}>, is_new_pp boolean"
 
@@ -41,65 +52,156 @@ def nearest(candidates: DataFrame, existing: DataFrame, radius: float = RADIUS,
     return per.select(*candidates.columns, F.col("_b.id").alias("nearest_id"), F.col("_b._d").alias("nearest_distance"))
 
 
-def _snap_cell(radius: float, height: float, size: float):
-    def run(key: tuple, new: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        cell = int(key[0])
-        new = new.sort_values(["uuid_edge", "edge_idx"], kind="stable")
-        known = known.drop_duplicates("id_positionpoint").sort_values("id_positionpoint")
-        points = list(known[["id_positionpoint", "zoom", "cell", "x", "y", "z", "azimuth"]].itertuples(index=False, name=None))
-        n = int((known["cell"] == cell).sum())
-        buckets: dict[tuple[int, int], list[tuple]] = {}
-
-        def put(p: tuple) -> None:
-            buckets.setdefault((int(np.floor(p[3] / radius)), int(np.floor(p[4] / radius))), []).append(p)
-
-        for p in points:
-            put(p)
-        rows = []
-        for _, edge in new.groupby("uuid_edge", sort=False):
-            created = []
-            for c in edge.itertuples(index=False):
-                i, j = int(np.floor(c.x / radius)), int(np.floor(c.y / radius))
-                best = None
-                for p in (p for a in (i - 1, i, i + 1) for b in (j - 1, j, j + 1) for p in buckets.get((a, b), ())):
-                    gap = float(np.hypot(p[3] - c.x, p[4] - c.y))
-                    level = not np.isfinite(c.z) or not np.isfinite(p[5]) or abs(p[5] - c.z) <= height
-                    if gap < radius and level and (best is None or (gap, p[0]) < best[0]):
-                        best = ((gap, p[0]), p)
-                if best is None:
-                    if n >= ids.PER_CELL:
-                        raise ValueError(f"too many points in cell {cell}")
-                    number = ((cell & ((1 << ids.CELL_BITS) - 1)) << 12) + n
-                    n += 1
-                    p = (number - (1 << 64) if number >= 1 << 63 else number, int(c.zoom), cell, c.x, c.y, c.z, c.azimuth)
-                    created.append(p)
-                else:
-                    p = best[1]
-                rows.append((c.uuid_edge, c.edge_idx, c.position, c.prio, c.zoom, c.x, c.y, c.z, c.azimuth, dict(zip(("id_positionpoint", "zoom", "cell", "x", "y", "z", "azimuth"), p, strict=True)), best is None))
-            for p in created:  # visible from the next edge on
-                put(p)
-        names = ["uuid_edge", "edge_idx", "position", "prio", "zoom", "x", "y", "z", "azimuth", "snapped", "is_new_pp"]
-        return pd.DataFrame(rows, columns=names)
+class _Visible:
+    """Entries that candidates can snap to, sorted by squares of the radius' size; entries are added by number."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, z: np.ndarray, ids: np.ndarray, radius: float, height: float):
+        self.x, self.y, self.z, self.ids, self.radius, self.height = x, y, z, ids, radius, height
+        i, j = (np.floor(v / radius).astype(np.int64) for v in (x, y))
+        self.width = int(np.ptp(j)) + 3
+        self.square = (i - i.min() + 1) * self.width + j - j.min() + 1
+        self.squares, self.entries = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, entries: np.ndarray) -> None:
+        entries = entries[np.argsort(self.square[entries], kind="stable")]
+        at = np.searchsorted(self.squares, self.square[entries])
+        self.squares, self.entries = np.insert(self.squares, at, self.square[entries]), np.insert(self.entries, at, entries)
+
+    def nearest(self, entries: np.ndarray) -> np.ndarray:
+        """The nearest visible entry of each, the smaller id of equally near ones; -1 without any."""
+        square = np.concatenate([self.square[entries] + d for d in (-self.width, 0, self.width)])
+        low, high = np.searchsorted(self.squares, square - 1, "left"), np.searchsorted(self.squares, square + 1, "right")
+        n = high - low
+        own = np.repeat(np.tile(np.arange(len(entries)), 3), n)
+        p = self.entries[np.arange(len(own)) + np.repeat(low - (np.cumsum(n) - n), n)]
+        c = entries[own]
+        gap, rise = np.hypot(self.x[p] - self.x[c], self.y[p] - self.y[c]), np.abs(self.z[p] - self.z[c])
+        # a missing height (NaN) is no reason against a point
+        fits = (gap < self.radius) & (~np.isfinite(self.z[p]) | ~np.isfinite(self.z[c]) | (rise <= self.height))
+        own, p, gap = own[fits], p[fits], gap[fits]
+        order = np.lexsort((self.ids[p], gap, own))
+        own, p = own[order], p[order]
+        out = np.full(len(entries), -1)
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        out[own[first]] = p[first]
+        return out
+
+
+def _cell_at(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return cell // (1 << 26) - cells.OFFSET, cell % (1 << 26) - cells.OFFSET
+
+
+def _waves(prio: np.ndarray, cell: np.ndarray, edge: np.ndarray, idx: np.ndarray) -> list[np.ndarray]:
+    """Candidates by round (priority, colour) and, in each, by their edge's place in its cell."""
+    i, j = _cell_at(cell)
+    colour = i % 2 * 2 + j % 2
+    order = np.lexsort((idx, edge, cell, colour, prio))
+    new_cell = (np.diff(prio[order], prepend=-1) != 0) | (np.diff(cell[order], prepend=-1) != 0)
+    new_cell[0] = True
+    nth = np.cumsum(new_cell | (np.diff(edge[order], prepend=-1) != 0))
+    wave = nth - nth[np.flatnonzero(new_cell)][np.cumsum(new_cell) - 1]
+    by_wave = np.lexsort((wave, colour[order], prio[order]))
+    keys = [v[by_wave] for v in (prio[order], colour[order], wave)]
+    starts = np.flatnonzero(np.logical_or.reduce([np.diff(k) != 0 for k in keys])) + 1
+    return np.split(order[by_wave], starts)
+
+
+def _snap_block(radius: float, height: float, size: float, side: int):
+    def run(key: tuple, new: pa.Table, known: pa.Table) -> pa.Table:
+        names = ["uuid_edge", "edge_idx", "position", "prio", "zoom", "x", "y", "z", "azimuth"]
+        fields = ["id_positionpoint", "zoom", "cell", "x", "y", "z", "azimuth"]
+        # the known points, then the candidates
+        both = {f: pa.chunked_array([*known[f].chunks, *new[f].chunks], known.schema.field(f).type).combine_chunks() for f in fields[1:]}
+        x, y, z, cell = (both[f].to_numpy(zero_copy_only=False) for f in ("x", "y", "z", "cell"))
+        before, total = len(known), len(known) + len(new)
+        ids_ = np.zeros(total, np.int64)
+        ids_[:before] = known["id_positionpoint"].to_numpy()
+        snapped, is_new = np.zeros(total, np.int64), np.zeros(total, bool)
+        i, j = _cell_at(cell)
+        core = (i // side == key[0].as_py()) & (j // side == key[1].as_py())
+        core[:before] = False
+        if core.any():
+            own, local = np.unique(cell[before:], return_inverse=True)
+            used = np.zeros(len(own), np.int64)
+            local = np.concatenate([np.zeros(before, np.int64), local])
+            _, once = np.unique(ids_[:before], return_index=True)
+            near = (np.abs(np.floor(x[once] / size) - i[once]) <= 1) & (np.abs(np.floor(y[once] / size) - j[once]) <= 1) & np.isin(cell[once], own)
+            np.add.at(used, np.searchsorted(own, cell[once][near]), 1)
+            text = new["uuid_edge"].combine_chunks().dictionary_encode()
+            rank = np.empty(len(text.dictionary) + 1, np.int64)
+            rank[pc.array_sort_indices(text.dictionary).to_numpy()] = np.arange(len(text.dictionary))
+            rank[-1] = len(text.dictionary)  # an edge without a name comes last
+            edge = rank[pc.fill_null(text.indices, len(text.dictionary)).to_numpy()]
+            visible = _Visible(x, y, z, ids_, radius, height)
+            visible.add(np.arange(before))
+            prio = new["prio"].to_numpy()
+            for wave in _waves(prio, cell[before:], edge, new["edge_idx"].to_numpy()):
+                wave = wave + before  # sorted by cell
+                best = visible.nearest(wave)
+                found, made = best >= 0, wave[best < 0]
+                snapped[wave[found]], snapped[made], is_new[made] = best[found], made, True
+                at = local[made]
+                number = used[at] + np.arange(len(at)) - np.searchsorted(at, at)
+                if (full := (number >= ids.PER_CELL) & core[made]).any():
+                    raise ValueError(f"too many points in cell {cell[made][full][0]}")
+                np.add.at(used, at, 1)
+                ids_[made] = (((cell[made].view(np.uint64) & np.uint64((1 << ids.CELL_BITS) - 1)) << np.uint64(12)) + number.astype(np.uint64)).view(np.int64)
+                visible.add(made)  # from the next edge on
+        kept = np.flatnonzero(core)
+        to = snapped[kept]
+        point = [pa.array(ids_[to]), *(both[f].take(pa.array(to)) for f in fields[1:])]
+        rows = new.select(names).take(pa.array(kept - before))
+        out = [*rows.columns, pa.StructArray.from_arrays(point, fields), pa.array(is_new[kept])]
+        return pa.table(out, names=[*names, "snapped", "is_new_pp"])
 
     return run
 
 
+def _in_blocks(df: DataFrame, cell: str, side: int, margin: int) -> DataFrame:
+    """A row for each block (_bi, _bj) whose cells, or whose margin's, hold the row's cell."""
+    i, j = f"({cell} div {1 << 26} - {cells.OFFSET})", f"({cell} % {1 << 26} - {cells.OFFSET})"
+    block = lambda at, by: f"cast(floor(({at} + {by}) / {side}D) AS bigint)"
+    df = df.withColumns({f"_{n}{end}": F.expr(block(at, by)) for n, at in (("i", i), ("j", j)) for end, by in ((0, -margin), (1, margin))})
+    blocks = "flatten(transform(sequence(_i0, _i1), a -> transform(sequence(_j0, _j1), b -> named_struct('i', a, 'j', b))))"
+    df = df.withColumn("_b", F.explode(F.expr(f"CASE WHEN _i0 = _i1 AND _j0 = _j1 THEN array(named_struct('i', _i0, 'j', _j0)) ELSE {blocks} END")))
+    return df.withColumns({"_bi": F.col("_b.i"), "_bj": F.col("_b.j")}).drop("_b", "_i0", "_i1", "_j0", "_j1")
+
+
+def _side(new: DataFrame) -> int:
+    for side in SIDES[:-1]:
+        most = _in_blocks(new.select("cell"), "cell", side, 0).groupBy("_bi", "_bj").count().agg(F.max("count")).first()[0]
+        if most <= BLOCK_ROWS:
+            return side
+    return SIDES[-1]
+
+
 def snap(candidates: DataFrame, existing: DataFrame | None = None, radius: float = RADIUS, height: float = HEIGHT_TOLERANCE, size: float = cells.SIZE) -> DataFrame:
-    """One row per candidate with the point that it is mapped to (`snapped`) and whether that is new."""
+    """One row per candidate with the point that it is mapped to (`snapped`) and whether that is new.
+
+    The last pass is not written: callers that use the result more than once write it themselves."""
     spark = candidates.sparkSession
     cand = candidates.select(
         "uuid_edge", "edge_idx", "position", F.col("prio").cast("int").alias("prio"), F.col("zoom").cast("int").alias("zoom"), "x", "y",
         F.col("z").cast("double").alias("z"), F.col("azimuth").cast("double").alias("azimuth"), F.expr(cells.cell("x", "y", size)).alias("cell"),
     )
-    cand = cut(cand.withColumn("_colour", cells.colour("cell")), "candidates")
-    known = existing if existing is not None else spark.createDataFrame([], PP)
+    cand = cut(cand, "candidates")
+    known = existing.select(*[f.split()[0] for f in PP.split(", ")]) if existing is not None else spark.createDataFrame([], PP)
+    prios = [r["prio"] for r in cand.select("prio").distinct().orderBy("prio").collect()]
     done: list[DataFrame] = []
-    for prio, colour in cand.select("prio", "_colour").distinct().orderBy("prio", "_colour").collect():  # priorities x 4 colours
-        new = cand.where((F.col("prio") == prio) & (F.col("_colour") == colour)).drop("_colour")
-        pool = reduce(DataFrame.unionByName, [d.where("is_new_pp").select("snapped.*") for d in done], known.select(*[f.split()[0] for f in PP.split(", ")]))
-        around = pool.withColumn("_to", F.explode(cells.ring("x", "y", size))).where(cells.colour("_to") == colour)
-        out = new.groupBy("cell").cogroup(around.join(new.select(F.col("cell").alias("_c")).distinct(), F.col("_to") == F.col("_c"), "left_semi").groupBy("_to")).applyInPandas(_snap_cell(radius, height, size), _RESULT)
-        done.append(cut(out, "snapped"))
+    for first in range(0, len(prios), PRIORITIES):
+        some = prios[first : first + PRIORITIES]
+        new, margin = cand.where(F.col("prio").isin(some)), 4 * len(some) - 1
+        side = _side(new)
+        left = _in_blocks(new, "cell", side, margin)
+        right = _in_blocks(known.withColumn("_cell", F.expr(cells.cell("x", "y", size))), "_cell", side, margin + 1).drop("_cell")
+        if existing is not None or done:
+            right = right.join(left.select("_bi", "_bj").distinct(), ["_bi", "_bj"], "left_semi")
+        by = ["_bi", "_bj"]
+        out = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_snap_block(radius, height, size, side), _RESULT)
+        if first + PRIORITIES < len(prios):
+            out = cut(out, "snapped")
+            known = known.unionByName(out.where("is_new_pp").select("snapped.*"))
+        done.append(out)
     return reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], _RESULT)
 
 
