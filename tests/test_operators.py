@@ -235,3 +235,14 @@ def test_snap_queries_take_all_tracks(spark, tmp_path):
     new = [r for r in rounds if r["is_new_pp"]]
     assert all(r["candidates"] == r["points"] for r in new)
     assert Q.snap_points(spark, str(tmp_path)).count() == sum(r["points"] for r in new)
+
+
+def test_snap_rounds_in_time(spark):
+    from trackweave.queries import points as Q
+
+    began = time.time()
+    rounds = Q.snap_rounds(spark, SF).collect()
+    assert time.time() - began < 30
+    assert {(r["prio"], r["is_new_pp"]) for r in rounds} == {(p, new) for p in (1, 2) for new in (False, True)}
+    assert sum(r["candidates"] for r in rounds) == Q._candidates(spark, SF).count()
+    assert all(r["candidates"] == r["points"] for r in rounds if r["is_new_pp"])
