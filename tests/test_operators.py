@@ -246,3 +246,15 @@ def test_snap_rounds_in_time(spark):
     assert {(r["prio"], r["is_new_pp"]) for r in rounds} == {(p, new) for p in (1, 2) for new in (False, True)}
     assert sum(r["candidates"] for r in rounds) == Q._candidates(spark, SF).count()
     assert all(r["candidates"] == r["points"] for r in rounds if r["is_new_pp"])
+
+
+def test_direction_at_135_degrees(spark, tmp_path):
+    """Keys whose angles differ by 45 or 135 degrees but for rounding: as in SQL."""
+    import duckdb
+
+    from trackweave.queries import points as Q
+
+    spark.range(14040).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")  # all pairs of angles
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert {tuple(r) for r in Q.direction(spark, str(tmp_path)).collect()} == set(con.sql(Q.ORACLES["direction"]).fetchall())

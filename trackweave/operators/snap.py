@@ -217,7 +217,7 @@ def points(snapped: DataFrame, source_crs: str = "EPSG:2056") -> DataFrame:
 
 def direction(candidate: str, point: str) -> str:
     """1 within 45 degrees of the point's azimuth, -1 within 45 degrees of its opposite, else null."""
-    turn = g.angle_diff(candidate, point)
+    turn = f"acos(cos(({candidate}) - ({point})))"  # as in SQL, which decides at 45 and 135 degrees
     return f"cast(CASE WHEN {turn} < pi() / 4 THEN 1 WHEN {turn} > 3 * pi() / 4 THEN -1 END AS smallint)"
 
 
