@@ -274,3 +274,35 @@ def test_gold_ids_do_not_collide(spark, tmp_path):
     want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({Q.ORACLES['gold_pp']})").fetchall()
     key = lambda rows: sorted((tuple(r) for r in rows), key=lambda r: r[:2])
     assert len(want) > 300 and key(df.collect()) == key(want)
+
+
+def test_snap_rounds_packs_candidates(spark, tmp_path, monkeypatch):
+    """1.6 million candidates: they are written and shuffled by tile, not one by one; the counts are those of snap."""
+    from trackweave.queries import points as Q
+
+    spark.range(15_000).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    written = []
+    monkeypatch.setattr(S, "cut", lambda df, name: written.append(E.cut(df, name)) or written[-1])
+    began = time.time()
+    rounds = Q.snap_rounds(spark, str(tmp_path)).collect()
+    assert time.time() - began < 60
+    candidates = sum(r["candidates"] for r in rounds)
+    assert 1_000_000 < candidates == Q._candidates(spark, str(tmp_path)).count() and 0 < sum(w.count() for w in written) < candidates / 20
+    whole = S.snap(Q._candidates(spark, str(tmp_path))).groupBy("prio", "is_new_pp")
+    assert set(rounds) == set(whole.agg(F.count("*").alias("candidates"), F.count_distinct("snapped.id_positionpoint").alias("points")).collect())
+
+
+def test_snap_rounds_counts_all_passes(spark, monkeypatch):
+    """Five priorities in three passes, small blocks and tasks, known points; missing heights, names and positions stay missing."""
+    monkeypatch.setattr(S, "SIDES", (8,))
+    monkeypatch.setattr(S, "TASK_ROWS", 1000)
+    c = P.edge_points(fixtures.tracks(spark, SF).withColumnRenamed("uuid_track", "uuid_edge"), ["uuid_edge", "k"])
+    known = c.where("edge_idx % 7 = 0").selectExpr("xxhash64(uuid_edge, edge_idx) AS id_positionpoint", "cast(zoom AS int) AS zoom", "k AS cell", "x + 0.1D AS x", "y + 0.05D AS y", "cast(z AS double) AS z", "cast(azimuth AS double) AS azimuth")
+    c = c.selectExpr("CASE WHEN k <> 77 THEN uuid_edge END AS uuid_edge", "edge_idx", "CASE WHEN k % 13 <> 5 THEN position END AS position", "cast(1 + k % 5 AS smallint) AS prio", "zoom", "x", "y", "CASE WHEN k % 11 <> 3 THEN z END AS z", "azimuth")
+    c, known = E.cut(c, "test"), E.cut(known, "test")
+    s = E.cut(S.snap(c, known), "test")
+    own = ["uuid_edge", "edge_idx", "position", "x", "y", "cast(z AS double) AS z"]
+    assert s.selectExpr(*own).exceptAll(c.selectExpr(*own)).count() == 0 and s.count() == c.count()
+    assert s.where("is_new_pp AND NOT (snapped.z <=> z)").count() == 0 and s.where("z IS NULL").count() > 0
+    whole = s.groupBy("prio", "is_new_pp").agg(F.count("*").alias("candidates"), F.count_distinct("snapped.id_positionpoint").alias("points"))
+    assert set(S.rounds(c, known).collect()) == set(whole.collect()) and whole.count() == 10
